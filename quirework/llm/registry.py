@@ -8,12 +8,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirework.functions.tokens import token_sql
-from quirework.llm import dedup, mixing, split
+from quirework.llm import dedup, leak, markup, mixing, split
 from quirework.runtime import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _chunks_and_blocks(spark: SparkSession, d: str, *more: str) -> DataFrame:
+    parts = [
+        read_table(spark, d, t).select(F.lit(t).alias("tab"), "row_id", "text", *more) for t in ("chunks", "blocks")
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return markup.found(_chunks_and_blocks(spark, d))
+
+
+def p2_clean(spark: SparkSession, d: str) -> DataFrame:
+    return markup.cleaned(_chunks_and_blocks(spark, d))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return (
         dedup.copies(read_table(spark, d, "chunks").select("row_id", "text"))
@@ -42,6 +57,14 @@ def p5_pieces(spark: SparkSession, d: str) -> DataFrame:
     return split.split_texts(_split_rows(spark, d))
 
 
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return leak.leaked(read_table(spark, d, "documents"), read_table(spark, d, "eval_items"))
+
+
+def p7_documents(spark: SparkSession, d: str) -> DataFrame:
+    return leak.by_document(read_table(spark, d, "documents"), read_table(spark, d, "eval_items"))
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return mixing.short_sources(read_table(spark, d, "documents"), read_table(spark, d, "mix_targets"))
 
@@ -52,10 +75,14 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "p2_found": p2_found,
+        "p2_clean": p2_clean,
         "p4_found": p4_found,
         "p4_copies": p4_copies,
         "p5_found": p5_found,
         "p5_pieces": p5_pieces,
+        "p7_found": p7_found,
+        "p7_documents": p7_documents,
         "p8_found": p8_found,
         "p8_shares": p8_shares,
     }
