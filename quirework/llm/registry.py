@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirework.functions.tokens import token_sql
-from quirework.llm import dedup, leak, markup, mixing, split
+from quirework.llm import dedup, leak, markup, mixing, ocr, split
 from quirework.runtime import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,24 @@ def _chunks_and_blocks(spark: SparkSession, d: str, *more: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def _noise(spark: SparkSession, d: str) -> ocr.Noise:
+    chunks = read_table(spark, d, "chunks").select(
+        F.lit("chunks").alias("tab"), "row_id", "doc_id", F.col("chunk_index").alias("pos"), F.lit(False).alias("title"), "text"
+    )
+    blocks = read_table(spark, d, "blocks").select(
+        F.lit("blocks").alias("tab"), "row_id", "doc_id", "pos", (F.col("block_type") == "title").alias("title"), "text"
+    )
+    return ocr.Noise(chunks.unionByName(blocks))
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return _noise(spark, d).found()
+
+
+def p1_repaired(spark: SparkSession, d: str) -> DataFrame:
+    return _noise(spark, d).repaired()
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return markup.found(_chunks_and_blocks(spark, d))
 
@@ -75,6 +93,8 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "p1_found": p1_found,
+        "p1_repaired": p1_repaired,
         "p2_found": p2_found,
         "p2_clean": p2_clean,
         "p4_found": p4_found,
