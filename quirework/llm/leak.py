@@ -33,7 +33,9 @@ ITEM_BLOCK = 5_000
 WORD = re.compile(r"[^\W_]+")
 _TRIGGER = re.compile(TRIGGER)
 _INVISIBLE = re.compile("[​‌‍⁠﻿]")
-_CUT = re.compile(r"([^\W\d_]+)[-‐\xac\xad][ \t]*\r?\n\s*([^\W\d_]+)")
+_CUT = re.compile(r"[-‐\xac\xad][ \t]*\r?\n\s*")
+_FIRST_HALF = re.compile(r"[^\W\d_]+\Z")
+_SECOND_HALF = re.compile(r"[^\W\d_]+")
 _FURNITURE = re.compile(
     r"(?mi)^[ \t]*(?:[-—–\[][ \t]*\d{1,4}[ \t]*[-—–\]]|\d{1,4}(?:[ \t]*/[ \t]*\d{1,4})?|(?:pag\.?|page|seite|página|p\.)[ \t]*\d{1,4}(?:[ \t]+\w{2,3}[ \t]+\d{1,4})?)[ \t]*\r?$"
 )
@@ -64,13 +66,14 @@ class Index:
             text = plain(text)
         text = _INVISIBLE.sub("", text)
         if "\n" in text:
-            text = _drop_furniture(text)
-            text = _CUT.sub(self._join, text)
+            text = _CUT.sub(self._join, _drop_furniture(text))
         return WORD.findall(text.casefold())
 
     def _join(self, m: re.Match) -> str:
-        whole = m.group(1) + m.group(2)
-        return whole if whole.casefold() in self.known else m.group(1) + "- " + m.group(2)
+        """Nothing between two halves of a known word, the break itself elsewhere."""
+        a = _FIRST_HALF.search(m.string, max(0, m.start() - 40), m.start())
+        b = a and _SECOND_HALF.match(m.string, m.end())
+        return "" if b and (a.group() + b.group()).casefold() in self.known else m.group()
 
     def search(self, text: str | None) -> list[tuple[int, int, int, float, float]]:
         """(item_id, words covered, words, share, alignment score) of the items with a seed in ``text``."""
@@ -102,15 +105,19 @@ class Index:
 _RUN = re.compile(b"\x01{%d,}" % SEED)
 
 
+_NUMBERED = re.compile(r"^\d+\s{2,}|\s{2,}\d+$")
+
+
 def _drop_furniture(text: str) -> str:
     """The text without lines that are page numbers or return three times or more, if short and no sentence."""
     text = _FURNITURE.sub("", text)
-    keys = [re.sub(r"^\d+\s{2,}|\s{2,}\d+$", "", x.strip()).casefold() for x in text.split("\n")]
-    keys = [" ".join(k.split()) for k in keys]
-    count = Counter(k for k in keys if 3 < len(k) <= 90 and k[-1] not in ".;:,?!")
-    if not count or max(count.values()) < 3:
+    lines = text.split("\n")
+    keys = [" ".join(_NUMBERED.sub("", x.strip()).casefold().split()) if 3 < len(x) <= 100 and x[-1] not in ".;:,?!" else "" for x in lines]
+    count = Counter(keys)
+    del count[""]
+    if not count or count.most_common(1)[0][1] < 3:
         return text
-    return "\n".join(x for x, k in zip(text.split("\n"), keys) if count[k] < 3)
+    return "\n".join(x for x, k in zip(lines, keys) if count[k] < 3)
 
 
 def _regions(seeds: list[tuple[int, int]], item: int, words: int) -> list[tuple[int, int]]:
