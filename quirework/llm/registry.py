@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirework.functions.tokens import token_sql
-from quirework.llm import dedup, leak, markup, mixing, ocr, split
+from quirework.llm import dedup, language, leak, markup, mixing, ocr, split
 from quirework.runtime import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,28 @@ def p5_pieces(spark: SparkSession, d: str) -> DataFrame:
     return split.split_texts(_split_rows(spark, d))
 
 
+def _hinted(spark: SparkSession, d: str) -> tuple[DataFrame, dict[str, str]]:
+    documents = read_table(spark, d, "documents")
+    docs = documents.select(
+        F.lit("documents").alias("tab"), F.col("doc_id").alias("row_id"), "text", F.col("language_hint").alias("hint")
+    )
+    chunks = read_table(spark, d, "chunks").select(
+        F.lit("chunks").alias("tab"), "row_id", "text", F.col("metadata.language_hint").alias("hint")
+    )
+    label = language.code_column("language_hint")
+    agreed = F.when(label == language.code_column("lang"), label)
+    texts = language.train(documents.select(F.col("doc_id").alias("id"), "text", agreed.alias("label")))
+    return docs.unionByName(chunks), texts
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return language.mislabelled(*_hinted(spark, d))
+
+
+def p6_languages(spark: SparkSession, d: str) -> DataFrame:
+    return language.identified(*_hinted(spark, d))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return leak.leaked(read_table(spark, d, "documents"), read_table(spark, d, "eval_items"))
 
@@ -101,6 +123,8 @@ def queries() -> dict[str, Query]:
         "p4_copies": p4_copies,
         "p5_found": p5_found,
         "p5_pieces": p5_pieces,
+        "p6_found": p6_found,
+        "p6_languages": p6_languages,
         "p7_found": p7_found,
         "p7_documents": p7_documents,
         "p8_found": p8_found,
