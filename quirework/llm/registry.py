@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirework.functions.tokens import token_sql
-from quirework.llm import dedup, language, leak, markup, mixing, ocr, split
+from quirework.llm import dedup, language, leak, markup, mixing, ocr, split, subjects
 from quirework.runtime import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,6 +113,18 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.shares(read_table(spark, d, "documents"), read_table(spark, d, "mix_targets"))
 
 
+def _subject_tables(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return tuple(read_table(spark, d, t) for t in ("documents", "subject_samples", "subject_areas"))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return subjects.subjects_of(*_subject_tables(spark, d))
+
+
+def p9_composition(spark: SparkSession, d: str) -> DataFrame:
+    return subjects.composition(*_subject_tables(spark, d))
+
+
 def queries() -> dict[str, Query]:
     return {
         "p1_found": p1_found,
@@ -129,6 +141,8 @@ def queries() -> dict[str, Query]:
         "p7_documents": p7_documents,
         "p8_found": p8_found,
         "p8_shares": p8_shares,
+        "p9_found": p9_found,
+        "p9_composition": p9_composition,
     }
 
 
