@@ -42,12 +42,15 @@ HEADER_TIMES = 3
 FLUSH = 400_000
 
 MARKS = "-‐\xac\xad"
-_INVISIBLE = str.maketrans("", "", "​‌‍⁠﻿")
-WORD = re.compile(r"(?:[^\W_]|[|@†$])+")
+_INVISIBLE = "​‌‍⁠﻿"
+#: Words of a folded text, in which no underscore is left.
+WORD = re.compile(r"[\w|@†$]+")
 _LETTERS = re.compile(r"[^\W\d_]")
 _ODD = re.compile(r"[\d|@†$]")
-CUT = re.compile(rf"((?:[^\W_]|[|@†$])+)[{MARKS}][ \t]*\r?\n")
-_NEXT = re.compile(r"[^\S\n]*((?:[^\W_]|[|@†$])+)")
+CUT = re.compile(rf"(?<=[\w|@†$])[{MARKS}][ \t]*\r?\n")
+_CUT_WORD = re.compile(rf"(?<=[\w|@†$])[{MARKS}][ \t]*\r?\n[^\S\n]*\S+")
+_FIRST = re.compile(r"[\w|@†$]+\Z")
+_NEXT = re.compile(r"[^\S\n]*([\w|@†$]+)")
 PAGE = re.compile(
     r"(?i)(?:[-—–\[][ \t]*\d{1,4}[ \t]*[-—–\]]|\d{1,4}(?:[ \t]*/[ \t]*\d{1,4})?|(?:pag\.?|pagina|page|seite|página|p\.)[ \t]*\d{1,4}(?:[ \t]*(?:di|of|von|sur|de|/)[ \t]*\d{1,4})?)"
 )
@@ -56,8 +59,21 @@ _ATTACHED = re.compile(r"^\d{1,4}[ \t]{2,}|[ \t]{2,}\d{1,4}$|[ \t]\d{1,3}$|^\d{1
 _NOT_HEADER = re.compile(r"^!|!!|[|<>{}\\=`:*_\[\]]|''|[.;,!?]$")
 
 
+def visible(text: str) -> str:
+    for c in _INVISIBLE:
+        if c in text:
+            text = text.replace(c, "")
+    return text
+
+
 def fold(text: str) -> str:
-    return text.translate(_INVISIBLE).casefold()
+    return visible(text).casefold().replace("_", " ")
+
+
+def _first_half(text: str, end: int) -> str:
+    """The word that ends at ``end``."""
+    m = _FIRST.search(text, max(0, end - 60), end)
+    return m.group() if m else ""
 
 
 def edits(word: str, most: int = 2) -> set[str]:
@@ -76,6 +92,16 @@ def edits(word: str, most: int = 2) -> set[str]:
     return seen
 
 
+def _without_cuts(text: str) -> str:
+    """A folded text without both halves of the words cut at its line ends."""
+    parts, at = [], 0
+    for m in _CUT_WORD.finditer(text):
+        start = m.start() - len(_first_half(text, m.start()))
+        parts.append(text[at:max(at, start)])
+        at = m.end()
+    return " ".join([*parts, text[at:]]) if parts else text
+
+
 # --- statistics ------------------------------------------------------------------------------
 
 
@@ -101,9 +127,7 @@ def statistics(rows: DataFrame) -> DataFrame:
                     continue
                 text = fold(text)
                 if "\n" in text:
-                    text = CUT.sub(" \x00", text)
-                    if "\x00" in text:
-                        text = re.sub(r"\x00[^\S\n]*\S+", " ", text)
+                    text = _without_cuts(text)
                 found = ["0" if w.isdigit() else w for w in WORD.findall(text)]
                 words.update(found)
                 pairs.update(zip(found, found[1:]))
@@ -211,8 +235,7 @@ EVIDENCE = "tab string, row_id long, doc_id string, pos int, kind string, k stri
 
 def header_key(line: str) -> str:
     """A line without its page number, case and spacing."""
-    s = line.strip().translate(_INVISIBLE)
-    s = _ATTACHED.sub("", s)
+    s = _ATTACHED.sub("", visible(line).strip())
     return " ".join(s.split()).casefold()
 
 
@@ -229,7 +252,7 @@ class Scanner:
             self._lines(text, title, out)
             for m in CUT.finditer(folded):
                 self._cut(folded, m, out)
-            folded = CUT.sub(" ", folded)
+            folded = _without_cuts(folded)
         for w in set(WORD.findall(folded)) - self.known:
             if len(w) > 2 and _LETTERS.search(w):
                 out.append(("word", w, 0, False))
@@ -239,7 +262,7 @@ class Scanner:
 
     def _cut(self, folded: str, m: re.Match, out: list) -> None:
         """A word cut at a line end: the second half opens one of the next lines, furniture between."""
-        first = m.group(1)
+        first = _first_half(folded, m.start())
         if not _LETTERS.search(first):
             return
         at, doubtful = m.end(), ""
@@ -266,11 +289,12 @@ class Scanner:
 
     def _lines(self, text: str, title: bool, out: list) -> None:
         lines = [x.strip() for x in text.split("\n")]
-        page = [bool(x) and bool(PAGE.fullmatch(x)) for x in lines]
+        page = [0 < len(x) < 30 and bool(PAGE.fullmatch(x)) for x in lines]
+        no_case = text == text.lower()
         for i, s in enumerate(lines):
             if page[i]:
                 out.append(("page", s, i, True))
-            elif 3 < len(s) <= 100 and not _NOT_HEADER.search(s) and not HEADING.match(s) and s[-1] not in MARKS:
+            elif 3 < len(s) <= 100 and (no_case or not s[0].islower()) and not _NOT_HEADER.search(s) and not HEADING.match(s) and s[-1] not in MARKS:
                 key = header_key(s)
                 if len(key) < 4 or not _LETTERS.search(key):
                     continue
@@ -403,7 +427,10 @@ class Noise:
 
 # --- repair ----------------------------------------------------------------------------------
 
-_OWN_LINE = re.compile(r"^\s*(?:$|[-*•>|!#=`{}\\<]|\w{1,2}\) |Table:)|\||:\s*\S+$|^[^:\n]{1,30}: |^    ")
+_OWN_LINE = re.compile(r"^\s*(?:$|[-*•>|!#=`{}\\<]|\w{1,2}\) |Table:)|[ \t]\|[ \t]|:\s*\S+$|^[^:\n]{1,30}: |^    ")
+
+
+_HALF = re.compile(rf"([\w|@†$]+)[{MARKS}][ \t]*$")
 
 
 def repair(text: str | None, fixes: dict[str, str], heads: set[str], cuts: set[str]) -> str:
@@ -419,12 +446,12 @@ def repair(text: str | None, fixes: dict[str, str], heads: set[str], cuts: set[s
     out: list[str] = []
     for line in lines:
         prev = out[-1] if out else ""
-        m = re.search(rf"((?:[^\W_]|[|@†$])+)[{MARKS}][ \t]*$", prev)
+        m = _HALF.search(prev)
         n = _NEXT.match(line)
         if m and n and fold(m.group(1) + n.group(1)) in cuts:
             out[-1] = prev[: m.end(1)] + line.lstrip()
         elif out and prev.strip() and line.strip() and not _OWN_LINE.search(line) and not _OWN_LINE.search(prev) and not HEADING.match(prev):
-            out[-1] = prev.rstrip() + ("" if re.search(rf"\w[{MARKS}]$", prev.rstrip()) and line[:1].islower() and " " not in prev[-2:] and m is not None and f"{m.group(1)}-".casefold() not in ("pre-", "post-") else " ") + line.lstrip()
+            out[-1] = prev.rstrip() + " " + line.lstrip()
         else:
             out.append(line.rstrip())
     text = re.sub(r"\n{3,}", "\n\n", "\n".join(out)).strip()
