@@ -18,6 +18,7 @@ import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from difflib import SequenceMatcher
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -32,12 +33,16 @@ MAX_SAMPLES = 100_000
 #: Words sent to the tasks at most, the most widespread first.
 MAX_LEXICON = 50_000
 KNOWN_WORDS = 50_000
-ROUNDS = 3
-#: A word belongs to a subject if this share of the documents that hold it are about it, and MIN_DOCS at least.
+ROUNDS = 4
+TITLE_WORDS = 5_000
+#: A word belongs to a subject if this share of the documents that hold it (and have a subject) are about it,
 PURITY = 0.6
-MIN_DOCS = 2
-#: ... and if its share there is this many times the subject's share of all documents.
+#: if at 1.96 standard errors the share is still this large (four of four documents are just enough),
+SURE = 0.5
+#: if it is this many times the subject's share of all documents,
 LIFT = 3.0
+#: and if this share of the documents that hold it have a subject at all.
+LABELLED = 0.05
 POSTERIOR = 0.5
 
 # What streets and squares are called.
@@ -137,7 +142,7 @@ def word_subjects(docs: DataFrame, lexicon: dict[str, tuple[str, float]], subjec
         for b in batches:
             for title, body in zip(b["title"], b["body"]):
                 votes: Counter[str] = Counter()
-                for s in body.split("\n"):
+                for s in [*body.split("\n"), *("title:" + w for w in title.split(" "))]:
                     hit = lex.sentence(s)
                     if hit:
                         votes[hit[0]] += min(1.0, hit[1])
@@ -167,6 +172,7 @@ def pure_words(counts: DataFrame) -> dict[str, tuple[str, float]]:
     prior = F.create_map(*[x for s, n in shares.items() if s for x in (F.lit(s), F.lit(n / total))]) if len(shares) > 1 else None
     if prior is None:
         return {}
+    z2 = F.lit(1.96**2)
     labelled = counts.where("subject <> '' and word <> '*'")
     best = labelled.groupBy("word").agg(
         F.max_by("subject", F.struct("n", "subject")).alias("subject"), F.max("n").alias("k"), F.sum("n").alias("labelled")
@@ -174,10 +180,14 @@ def pure_words(counts: DataFrame) -> dict[str, tuple[str, float]]:
     rows = (
         best.join(everywhere, "word")
         .withColumn("purity", F.col("k") / F.col("labelled"))
+        .withColumn("sure", (F.col("purity") + z2 / (F.col("labelled") * 2) - 1.96 * F.sqrt(
+            F.col("purity") * (1 - F.col("purity")) / F.col("labelled") + z2 / (F.col("labelled") * F.col("labelled") * 4)
+        )) / (1 + z2 / F.col("labelled")))
         .where(
             (F.col("purity") >= PURITY)
-            & (F.col("k") >= MIN_DOCS)
-            & (F.col("k") / F.col("docs") >= PURITY / 2)
+            & (F.col("sure") >= SURE)
+            & (F.col("labelled") / F.col("docs") >= LABELLED)
+            & F.regexp_like("word", F.lit(r"^(?:title:)?\p{L}+$"))
             & (F.col("purity") >= LIFT * F.try_element_at(prior, F.col("subject")))
             & (F.length(F.regexp_replace("word", "^title:", "")) > 3)
         )
@@ -188,17 +198,32 @@ def pure_words(counts: DataFrame) -> dict[str, tuple[str, float]]:
     return {r.word: (r.subject, float(r.purity)) for r in rows}
 
 
+def _cognates(lexicon: dict[str, tuple[str, float]], counts: DataFrame) -> dict[str, tuple[str, float]]:
+    """Title words spelled almost as one that names a subject; the TITLE_WORDS most widespread are compared."""
+    named = sorted((w[6:], x[0]) for w, x in lexicon.items() if w.startswith("title:"))
+    rows = counts.where("subject = '' and word like 'title:%'").orderBy(F.desc("n"), "word").limit(TITLE_WORDS).collect()
+    out = {}
+    for w in (r.word[6:] for r in rows if r.word not in lexicon):
+        near = {s for t, s in named if w[:4] == t[:4] and SequenceMatcher(None, w, t).ratio() >= 0.75}
+        if len(near) == 1:
+            out["title:" + w] = (near.pop(), 0.75)
+    return out
+
+
 def learn(docs: DataFrame, samples: DataFrame, areas: DataFrame) -> tuple[dict[str, tuple[str, float]], frozenset[str], list[str]]:
     """(lexicon, known words, subjects) learned from the samples and the prepared documents."""
     subjects = sorted({r.subject for r in areas.select("subject").where("subject is not null").collect()})
     drawn = samples.where(F.col("subject").isin(subjects)).orderBy("sample_id").limit(MAX_SAMPLES).collect()
     lexicon = seed_words([(r.text, r.subject) for r in drawn])
+    names = {"title:" + s: (s, 1.0) for s in subjects}
+    lexicon |= names
     known: frozenset[str] = frozenset()
     for k in range(ROUNDS):
         counts = materialize(word_subjects(docs, lexicon, subjects), "word-subjects")
         learned = pure_words(counts)
         if learned:
-            lexicon = learned
+            lexicon = names | learned
+        lexicon |= _cognates(lexicon, counts)
         if k == ROUNDS - 1:
             top = counts.where("subject = '' and word not like 'title:%' and n > 2").orderBy(F.desc("n"), "word").limit(KNOWN_WORDS)
             known = frozenset(r.word for r in top.select("word").collect())
