@@ -1,8 +1,8 @@
 """Subject areas of each document.
 
-Method: labelling functions under a model that learns how far to trust each. Four of them vote for
-or against each subject of a document: the lexicon (words of its sentences), the address (street
-names), the section (its title) and the source. Nobody knows their accuracies; they are learned by
+Method: labelling functions under a model that learns how far to trust each. They vote for or against
+each subject of a document: the lexicon (a word of its sentences, or two in one sentence), the
+address (street names), the section (its title) and the source. Nobody knows their accuracies; they are learned by
 expectation maximisation from how they agree and differ over all documents, and a document gets the
 subjects of high posterior probability that at least one whole sentence is about.
 
@@ -82,20 +82,26 @@ class Lexicon:
 
     def __init__(self, weights: dict[str, tuple[str, float]], known: frozenset[str] = frozenset()):
         self.weights, self.known = weights, known
-        self.memo: dict[str, tuple[str, float] | None] = {}
+        self.memo: dict[str, tuple[str, float, int] | None] = {}
 
-    def sentence(self, s: str) -> tuple[str, float] | None:
-        """(subject, strength) of a folded sentence, or None. Ties go to the first subject in order."""
+    def sentence(self, s: str) -> tuple[str, float, int] | None:
+        """(subject, strength, mentions of it) of a folded sentence, or None. Ties go to the first subject in order."""
         if s in self.memo:
             return self.memo[s]
         votes: dict[str, float] = {}
-        for w in s.split(" "):
+        words: Counter[str] = Counter()
+        said = s.split(" ")
+        for w in dict.fromkeys(said):
             hit = self.weights.get(w)
             if hit is None and self.known and len(w) > 4 and w not in self.known:
                 hit = next((self.weights[e] for e in sorted(edits(w, 1)) if e in self.weights), None)
             if hit:
                 votes[hit[0]] = votes.get(hit[0], 0.0) + hit[1]
-        best = max(sorted(votes.items()), key=lambda x: x[1]) if votes else None
+                words[hit[0]] += said.count(w)
+        best = None
+        if votes:
+            subject, strength = max(sorted(votes.items()), key=lambda x: x[1])
+            best = (subject, strength, words[subject])
         if len(self.memo) > 200_000:
             self.memo.clear()
         self.memo[s] = best
@@ -230,7 +236,7 @@ def learn(docs: DataFrame, samples: DataFrame, areas: DataFrame) -> tuple[dict[s
     return lexicon, known, subjects
 
 
-VOTES = "doc_id long, source string, subject string, sentences int, strength double, address boolean, section boolean"
+VOTES = "doc_id long, source string, subject string, sentences int, words int, address boolean, section boolean"
 
 
 def votes(docs: DataFrame, lexicon: dict[str, tuple[str, float]], known: frozenset[str], subjects: list[str]) -> DataFrame:
@@ -247,24 +253,25 @@ def votes(docs: DataFrame, lexicon: dict[str, tuple[str, float]], known: frozens
             out = []
             for doc_id, source, title, text in zip(b["doc_id"], b["source"], b["title"], b["body"]):
                 n: Counter[str] = Counter()
-                strength: dict[str, float] = defaultdict(float)
+                mentions: Counter[str] = Counter()
                 address: set[str] = set()
                 for s in text.split("\n"):
                     hit = lex.sentence(s)
                     if hit:
                         n[hit[0]] += 1
-                        strength[hit[0]] = max(strength[hit[0]], hit[1])
+                        mentions[hit[0]] = max(mentions[hit[0]], hit[2])
                     elif _STREET.search(s):
                         address.update(name_stems[w[:5]] for w in s.split(" ") if w[:5] in name_stems)
                 section = {title_words[w] for w in title.split(" ") if w in title_words}
                 for s in sorted({*n, *address, *section}):
-                    out.append((doc_id, source, s, n[s], strength[s], s in address, s in section))
+                    out.append((doc_id, source, s, n[s], mentions[s], s in address, s in section))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in VOTES.split(", ")])
 
     return docs.mapInPandas(run, VOTES)
 
 
-FUNCTIONS = ("lexicon", "address", "section", "source")
+#: ``lexicon``: a sentence has a word of the subject; ``phrase``: one has two.
+FUNCTIONS = ("lexicon", "phrase", "address", "section", "source")
 
 
 def accuracies(patterns: list[tuple[tuple[int, ...], float]], steps: int = 100) -> tuple[float, list[tuple[float, float]]]:
@@ -274,7 +281,7 @@ def accuracies(patterns: list[tuple[tuple[int, ...], float]], steps: int = 100)
     at the start; nothing else is assumed of any function.
     """
     k = len(FUNCTIONS)
-    prior, rates = 0.1, [(0.9, 0.05)] + [(0.5, 0.2)] * (k - 1)
+    prior, rates = 0.1, [(0.9, 0.05)] * 2 + [(0.5, 0.2)] * (k - 2)
     total = sum(n for _, n in patterns) or 1.0
     for _ in range(steps):
         post = [(p, n, posterior(p, prior, rates)) for p, n in patterns]
@@ -322,7 +329,7 @@ def posteriors(documents: DataFrame, samples: DataFrame, areas: DataFrame) -> Da
     on = v["source"].eqNullSafe(leaning["src"]) & (v["subject"] == leaning["subj"])
     flags = v.join(F.broadcast(leaning), on, "left").select(
         "doc_id", "subject", "sentences",
-        (F.col("sentences") > 0).cast("int").alias("lexicon"), F.col("address").cast("int").alias("address"),
+        (F.col("sentences") > 0).cast("int").alias("lexicon"), (F.col("words") > 1).cast("int").alias("phrase"), F.col("address").cast("int").alias("address"),
         F.col("section").cast("int").alias("section"), F.coalesce("leans", F.lit(0)).alias("source"),
     )
     seen = [(tuple(int(r[f]) for f in FUNCTIONS), float(r["count"])) for r in flags.groupBy(*FUNCTIONS).count().collect()]
