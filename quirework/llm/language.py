@@ -43,12 +43,13 @@ MIN_TABLE_LETTERS = 14
 MIN_LEAD = 0.12
 
 _TRIGGER = re.compile(TRIGGER)
-_INVISIBLE = re.compile("[​‌‍⁠﻿]")
+_INVISIBLE = "​‌‍⁠﻿"
+_MARKS = "-‐\xac\xad"
 _QUOTED = re.compile(r"«[^«»]{1,160}»|[“\"][^«»“”\".!?\n]{1,80}[”\"]")
 _CUT = re.compile(r"(?<=[^\W\d_])[-‐\xac\xad][ \t]*\r?\n\s*(?=[^\W\d_])")
 _HEADING = re.compile(r"(?i)^\s*(?:[“\"]?art(?:icolo|icle|ikel|ículo)?[.;,]?\s*\d|#{1,6}\s|={2,})")
 _PARAGRAPH = re.compile(r"\n[ \t]*\n\s*")
-_SENTENCE = re.compile(r"(?<=[.!?])(?<!\b[Aa]rt\.)[\"»”')\]]*\s+")
+_STOP = re.compile(r"[.!?][\"»”')\]]*\s+")
 _ENDS = re.compile(r"[.!?;:][\"»”')\]}\s]*$")
 #: A text of so many characters counts as a sentence without an end mark, and is no heading.
 LONG = 120
@@ -73,7 +74,9 @@ def units(text: str | None) -> list[tuple[int, str, str]]:
     """
     if not text:
         return []
-    text = _INVISIBLE.sub("", text)
+    for c in _INVISIBLE:
+        if c in text:
+            text = text.replace(c, "")
     if _TRIGGER.search(text):
         leaves, found = parse(text)
         if found:
@@ -84,7 +87,8 @@ def units(text: str | None) -> list[tuple[int, str, str]]:
                 else:
                     parts.append(("\n\n" if brk else "") + s)
             text = "".join(parts)
-    text = _QUOTED.sub(" ", text)
+    if "«" in text or '"' in text or "“" in text:
+        text = _QUOTED.sub(" ", text)
     out: list[tuple[int, str, str]] = []
     for k, para in enumerate(_PARAGRAPH.split(text)):
         lines = [x for x in para.split("\n") if x.strip()]
@@ -96,13 +100,15 @@ def units(text: str | None) -> list[tuple[int, str, str]]:
         if rows and len(rows) * 2 >= len(lines) and len(lines) > 1:
             out.append((k, "table", " ".join(x for x in lines if not x.strip().lower().startswith("table:"))))
             continue
-        fields = [x for x in re.split(r"[|;\n]", para) if x.strip()]
+        fields = [x for x in _PARTS.split(para) if x.strip()] if ":" in para else ()
         if len(fields) >= 2 and all(_FIELD.match(x.strip()) for x in fields):
             out.append((k, "table", para))
             continue
-        body = _CUT.sub("", "\n".join(_wrapped(lines)))
-        for item in _OWN.split(body):
-            sentences = [s for s in _SENTENCE.split(item.replace("\n", " ").strip()) if s]
+        body = "\n".join(_wrapped(lines)) if len(lines) > 1 else lines[0]
+        if len(lines) > 1 and any(c in body for c in _MARKS):
+            body = _CUT.sub("", body)
+        for item in _OWN.split(body) if len(lines) > 1 else (body,):
+            sentences = _sentences(item.replace("\n", " ").strip())
             for i, s in enumerate(sentences):
                 whole = _ENDS.search(s) or i < len(sentences) - 1 or len(s) >= LONG
                 if whole or "|" in s:
@@ -110,6 +116,23 @@ def units(text: str | None) -> list[tuple[int, str, str]]:
     return out
 
 
+_PARTS = re.compile(r"[|;\n]")
+
+
+def _sentences(s: str) -> list[str]:
+    """Sentences with their end marks; an abbreviated article is no end."""
+    out, at = [], 0
+    for m in _STOP.finditer(s):
+        k = m.start()
+        if s[max(0, k - 3) : k].lower() == "art" and not s[max(0, k - 4) : k - 3].isalpha():
+            continue
+        out.append(s[at : m.end()].rstrip())
+        at = m.end()
+    if at < len(s):
+        out.append(s[at:])
+    return out
+
+
 def _wrapped(lines: list[str]) -> list[str]:
     """The lines without furniture: short lines that end although the next line's first word had room."""
     if len(lines) < 2:

@@ -127,8 +127,8 @@ def seed_words(samples: list[tuple[str | None, str | None]]) -> dict[str, tuple[
     return out
 
 
-def word_subjects(docs: DataFrame, lexicon: dict[str, tuple[str, float]], subjects: list[str]) -> DataFrame:
-    """(word, subject, n): in how many documents of each subject a word stands; subject '' for all documents.
+def word_subjects(docs: DataFrame, lexicon: dict[str, tuple[str, float]], subjects: list[str], everywhere: bool) -> DataFrame:
+    """(word, subject, n): in how many documents of each subject a word stands; if ``everywhere``, under '' of all documents.
 
     A document's subject is the one most of its sentences vote for; title words are counted as ``title:word``.
     Counts are taken per task first, over every document.
@@ -152,10 +152,13 @@ def word_subjects(docs: DataFrame, lexicon: dict[str, tuple[str, float]], subjec
                     hit = lex.sentence(s)
                     if hit:
                         votes[hit[0]] += min(1.0, hit[1])
+                if not (votes or everywhere):
+                    continue
                 words = set(body.replace("\n", " ").split(" "))
                 words.update("title:" + w for w in title.split(" "))
                 words.add("*")
-                counts[""].update(words)
+                if everywhere:
+                    counts[""].update(words)
                 if votes:
                     counts[max(sorted(votes.items()), key=lambda x: x[1])[0]].update(words)
             if sum(map(len, counts.values())) > 500_000:
@@ -170,9 +173,8 @@ def word_subjects(docs: DataFrame, lexicon: dict[str, tuple[str, float]], subjec
     )
 
 
-def pure_words(counts: DataFrame) -> dict[str, tuple[str, float]]:
+def pure_words(counts: DataFrame, everywhere: DataFrame) -> dict[str, tuple[str, float]]:
     """Words of one subject, with their purity as weight; at most MAX_LEXICON, the most widespread first."""
-    everywhere = counts.where("subject = ''").select("word", F.col("n").alias("docs"))
     shares = {r.subject: r.n for r in counts.where("word = '*'").collect()}
     total = max(1, sum(n for s, n in shares.items() if s))
     prior = F.create_map(*[x for s, n in shares.items() if s for x in (F.lit(s), F.lit(n / total))]) if len(shares) > 1 else None
@@ -204,10 +206,10 @@ def pure_words(counts: DataFrame) -> dict[str, tuple[str, float]]:
     return {r.word: (r.subject, float(r.purity)) for r in rows}
 
 
-def _cognates(lexicon: dict[str, tuple[str, float]], counts: DataFrame) -> dict[str, tuple[str, float]]:
+def _cognates(lexicon: dict[str, tuple[str, float]], everywhere: DataFrame) -> dict[str, tuple[str, float]]:
     """Title words spelled almost as one that names a subject; the TITLE_WORDS most widespread are compared."""
     named = sorted((w[6:], x[0]) for w, x in lexicon.items() if w.startswith("title:"))
-    rows = counts.where("subject = '' and word like 'title:%'").orderBy(F.desc("n"), "word").limit(TITLE_WORDS).collect()
+    rows = everywhere.where("word like 'title:%'").orderBy(F.desc("docs"), "word").limit(TITLE_WORDS).collect()
     out = {}
     for w in (r.word[6:] for r in rows if r.word not in lexicon):
         near = {s for t, s in named if w[:4] == t[:4] and SequenceMatcher(None, w, t).ratio() >= 0.75}
@@ -223,16 +225,16 @@ def learn(docs: DataFrame, samples: DataFrame, areas: DataFrame) -> tuple[dict[s
     lexicon = seed_words([(r.text, r.subject) for r in drawn])
     names = {"title:" + s: (s, 1.0) for s in subjects}
     lexicon |= names
-    known: frozenset[str] = frozenset()
     for k in range(ROUNDS):
-        counts = materialize(word_subjects(docs, lexicon, subjects), "word-subjects")
-        learned = pure_words(counts)
+        counts = materialize(word_subjects(docs, lexicon, subjects, k == 0), "word-subjects")
+        if k == 0:
+            everywhere = counts.where("subject = ''").select("word", F.col("n").alias("docs"))
+        learned = pure_words(counts, everywhere)
         if learned:
             lexicon = names | learned
-        lexicon |= _cognates(lexicon, counts)
-        if k == ROUNDS - 1:
-            top = counts.where("subject = '' and word not like 'title:%' and n > 2").orderBy(F.desc("n"), "word").limit(KNOWN_WORDS)
-            known = frozenset(r.word for r in top.select("word").collect())
+        lexicon |= _cognates(lexicon, everywhere)
+    top = everywhere.where("word not like 'title:%' and docs > 2").orderBy(F.desc("docs"), "word").limit(KNOWN_WORDS)
+    known = frozenset(r.word for r in top.select("word").collect())
     return lexicon, known, subjects
 
 
