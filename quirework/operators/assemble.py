@@ -39,7 +39,7 @@ def pieces(segments: DataFrame, config: PipelineConfig) -> DataFrame:
                 p = splitting.segment_pieces(text or "", c.target_tokens, c.max_tokens, c.overlap_tokens, c.min_chars, c.max_overlap_chars)
                 p = splitting.trim_edges(splitting.join_tiny(p, c.min_chunk_tokens, c.max_tokens), c.overlap_tokens)
                 cut.append([x for x in map(str.strip, p) if x])
-            yield b.drop(columns="text").assign(pieces=cut)
+            yield pd.DataFrame({c: b[c].tolist() for c in cols} | {"pieces": cut})
 
     cols = [x.split()[0] for x in _CARRIED.split(", ")[:6]] + ["page_refs"]
     cut = d.select("text", *cols).mapInPandas(run, _CARRIED + ", pieces array<string>")

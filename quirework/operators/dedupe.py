@@ -11,7 +11,8 @@ from quirework.runtime import join_groups, materialize
 
 def dedupe_key(text: Column) -> Column:
     """SHA-1 of a text with single spaces and folded case."""
-    return F.sha1(F.lower(F.upper(F.lower(squeeze(F.coalesce(text, F.lit("")))))))
+    # squeeze stands between upper and lower, as the optimizer reduces lower(upper(x)) to lower(x)
+    return F.sha1(F.lower(squeeze(F.upper(F.replace(F.coalesce(text, F.lit("")), F.lit("ẞ"), F.lit("ss"))))))
 
 
 def keep_first(chunks: DataFrame, order: list[str], key: Column | None = None) -> DataFrame:
