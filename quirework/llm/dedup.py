@@ -25,8 +25,9 @@ FIELD = r"^(?=[^:]{1,40}:)[^:]*[\p{L}\p{N}][^:]*:.*[\p{L}\p{N}]"
 
 def canonical(text: Column) -> Column:
     """Letters and digits of a text in order, case folded; '' for a null."""
-    folded = F.lower(F.upper(F.lower(text)))
-    return F.coalesce(F.regexp_replace(folded, r"[^\p{L}\p{N}]+", ""), F.lit(""))
+    # The optimizer reduces lower(upper(x)) to lower(x), which would leave sharp s and ligatures unfolded.
+    upper = F.regexp_replace(F.upper(F.replace(text, F.lit("ẞ"), F.lit("ss"))), r"[^\p{L}\p{N}]+", "")
+    return F.coalesce(F.lower(upper), F.lit(""))
 
 
 def sheet_form(text: Column) -> Column:

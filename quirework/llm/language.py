@@ -207,17 +207,18 @@ class Parser:
         tables, self.roots, base = [], [], 0
         for name in self.names:
             nxt = suffix_automaton(texts[name])
-            size = len(nxt)
+            size = len(nxt) + 1
+            start = base + size - 1  # from here every letter begins a phrase; letters that the text lacks lead back
             table = np.empty((size, _WIDTH), dtype=np.int32)
-            restart = np.full(_WIDTH, base, dtype=np.int32)
+            restart = np.full(_WIDTH, start, dtype=np.int32)
             for c, t in nxt[0].items():
                 restart[c] = base + t
-            table[:] = restart << 1 | 1  # a failed match ends a phrase and restarts at the root
+            table[:] = restart << 1 | 1  # a failed match begins a phrase with the letter at hand
             for s, moves in enumerate(nxt):
                 for c, t in moves.items():
                     table[s, c] = (base + t) << 1
             tables.append(table)
-            self.roots.append(base)
+            self.roots.append(start)
             base += size
         self.table = np.concatenate(tables).ravel() if tables else np.zeros(_WIDTH, dtype=np.int32)
         self.bits = np.array([math.log2(max(2, len(texts[n]))) for n in self.names])[:, None]
@@ -231,7 +232,7 @@ class Parser:
         lens = size[order]
         start = np.concatenate(([0], np.cumsum(lens)[:-1])) if n else lens
         state = np.repeat(np.array(self.roots, dtype=np.int64)[:, None], n, axis=1)
-        phrases = np.ones((len(self.names), n), dtype=np.int32)
+        phrases = np.zeros((len(self.names), n), dtype=np.int32)
         active = n
         for t in range(int(lens[0]) if n else 0):
             while active and lens[active - 1] <= t:
@@ -248,7 +249,7 @@ class Parser:
     def classify(self, items: list[str]) -> list[tuple[str, float]]:
         """(language, lead) of each unit; the lead is the share by which the second needs more."""
         if not items or len(self.names) < 2:
-            return [(self.names[0] if self.names else "", 0.0)] * len(items)
+            return [(self.names[0], 0.0)] * len(items) if self.names else []
         r = self.rates(items)
         rank = np.argsort(r, axis=0, kind="stable")
         col = np.arange(len(items))
@@ -314,12 +315,12 @@ def languages_of(items: list[tuple[int, str, str]], judged: dict[str, tuple[str,
     """(paragraph, language, confidence, letters) runs of a text's units.
 
     A unit without a clear lead takes the language of the clear ones of its paragraph, else of the whole
-    text; without any, its own best.
+    text; without any, its own best. Units that were not judged (no language is trained) have none.
     """
     said = []
     for k, kind, u in items:
         s = letters(u)
-        if len(s) >= (MIN_TABLE_LETTERS if kind == "table" else MIN_LETTERS):
+        if s in judged and len(s) >= (MIN_TABLE_LETTERS if kind == "table" else MIN_LETTERS):
             said.append((k, *judged[s], len(s)))
     clear: dict[int | None, Counter[str]] = defaultdict(Counter)
     for k, lang, lead, n in said:
@@ -355,9 +356,9 @@ def segments(rows: DataFrame, texts: dict[str, str]) -> DataFrame:
             judged = dict(zip(distinct, parser.classify(distinct)))
             yield pd.DataFrame(
                 {
-                    "tab": b["tab"],
+                    "tab": b["tab"].tolist(),
                     "row_id": b["row_id"],
-                    "hint": b["hint"],
+                    "hint": b["hint"].tolist(),
                     "segments": [
                         [{"paragraph": k, "lang": x, "confidence": round(c, 4), "letters": n} for k, x, c, n in languages_of(p, judged)]
                         for p in parts

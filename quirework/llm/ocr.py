@@ -116,8 +116,8 @@ def statistics(rows: DataFrame) -> DataFrame:
         pairs: Counter[tuple[str, str]] = Counter()
 
         def out() -> Iterator[pd.DataFrame]:
-            yield pd.DataFrame({"a": list(words), "b": None, "n": list(words.values())})
-            yield pd.DataFrame({"a": [p[0] for p in pairs], "b": [p[1] for p in pairs], "n": list(pairs.values())})
+            rows = [(w, None, n) for w, n in words.items()] + [(a, b, n) for (a, b), n in pairs.items()]
+            yield pd.DataFrame(rows, columns=["a", "b", "n"])
             words.clear()
             pairs.clear()
 
@@ -318,7 +318,8 @@ def scan(rows: DataFrame, known: frozenset[str], corrected: dict[str, str]) -> D
                     out += [(tab, row_id, doc_id, pos, *e) for e in scanner(text, bool(title))]
             yield pd.DataFrame(out, columns=[c.split()[0] for c in EVIDENCE.split(", ")])
 
-    return rows.select("tab", "row_id", "doc_id", "pos", "title", "text").mapInPandas(run, EVIDENCE)
+    known_pos = F.coalesce("pos", F.lit(-1)).alias("pos")
+    return rows.select("tab", "row_id", "doc_id", known_pos, "title", "text").where("text is not null").mapInPandas(run, EVIDENCE)
 
 
 def headers(evidence: DataFrame, rows: DataFrame) -> DataFrame:
@@ -420,7 +421,7 @@ class Noise:
                     repair(t, dict(f) if f is not None else {}, set(h) if h is not None else set(), set(c) if c is not None else set())
                     for t, f, h, c in zip(b["text"], b["fixes"], b["heads"], b["cuts"])
                 ]
-                yield pd.DataFrame({"tab": b["tab"], "row_id": b["row_id"], "text": texts})
+                yield pd.DataFrame({"tab": b["tab"].tolist(), "row_id": b["row_id"], "text": texts})
 
         return keyed.mapInPandas(run, "tab string, row_id long, text string")
 

@@ -90,7 +90,7 @@ def cut(text: str | None, limits: Limits = Limits()) -> list[tuple[int, int]]:
         if n - at <= room:
             end = n
         else:
-            low = at + max(1, int(room * limits.min_share))
+            low = at + max(back + 1 if first else 1, int(room * limits.min_share))
             end = _best_cut(rank, landmarks, low, at + room)
         lead = at if first else at - back
         pieces.append((starts[lead] if lead else 0, starts[end] if end < n else len(text)))

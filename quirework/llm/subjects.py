@@ -39,7 +39,7 @@ TITLE_WORDS = 5_000
 PURITY = 0.6
 #: if at 1.96 standard errors the share is still this large (four of four documents are just enough),
 SURE = 0.5
-#: if it is this many times the subject's share of all documents,
+#: if its odds are this many times those of the subject over all documents,
 LIFT = 3.0
 #: and if this share of the documents that hold it have a subject at all.
 LABELLED = 0.05
@@ -72,7 +72,7 @@ def prepared(documents: DataFrame) -> DataFrame:
                         if kind == "sentence"
                     )
                 )
-            yield pd.DataFrame({"doc_id": b["doc_id"], "source": b["source"], "title": titles, "body": bodies})
+            yield pd.DataFrame({"doc_id": b["doc_id"], "source": b["source"].tolist(), "title": titles, "body": bodies})
 
     return documents.select("doc_id", "source", "text").mapInPandas(run, PREPARED)
 
@@ -188,6 +188,7 @@ def pure_words(counts: DataFrame, everywhere: DataFrame) -> dict[str, tuple[str,
     rows = (
         best.join(everywhere, "word")
         .withColumn("purity", F.col("k") / F.col("labelled"))
+        .withColumn("prior", F.try_element_at(prior, F.col("subject")))
         .withColumn("sure", (F.col("purity") + z2 / (F.col("labelled") * 2) - 1.96 * F.sqrt(
             F.col("purity") * (1 - F.col("purity")) / F.col("labelled") + z2 / (F.col("labelled") * F.col("labelled") * 4)
         )) / (1 + z2 / F.col("labelled")))
@@ -196,7 +197,7 @@ def pure_words(counts: DataFrame, everywhere: DataFrame) -> dict[str, tuple[str,
             & (F.col("sure") >= SURE)
             & (F.col("labelled") / F.col("docs") >= LABELLED)
             & F.regexp_like("word", F.lit(r"^(?:title:)?\p{L}+$"))
-            & (F.col("purity") >= LIFT * F.try_element_at(prior, F.col("subject")))
+            & (F.col("purity") * (1 - F.col("prior")) >= LIFT * F.col("prior") * (1 - F.col("purity")))
             & (F.length(F.regexp_replace("word", "^title:", "")) > 3)
         )
         .orderBy(F.desc("docs"), "word")
