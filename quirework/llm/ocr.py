@@ -56,6 +56,8 @@ PAGE = re.compile(
 )
 HEADING = re.compile(r"(?i)^(?:art(?:icolo|icle|ikel|ículo)?\.?[ \t]*\d|#|=|§|(?:sezione|section|capo|titolo|part|chapter)[ \t]+[\divx]+)")
 _ATTACHED = re.compile(r"^\d{1,4}[ \t]{2,}|[ \t]{2,}\d{1,4}$|[ \t]\d{1,3}$|^\d{1,3}[ \t]")
+#: A page number set apart from the line it stands in.
+_SET_APART = re.compile(r"^\d{1,4}[ \t]{2,}|[ \t]{2,}\d{1,4}$")
 _NOT_HEADER = re.compile(r"^!|!!|[|<>{}\\=`:*_\[\]]|''|[.;,!?]$")
 
 
@@ -302,7 +304,7 @@ class Scanner:
                 last = i == len(lines) - 1
                 beside = (i > 0 and page[i - 1]) or (not last and page[i + 1])
                 upper = s.upper() == s
-                out.append(("title" if title else "numbered" if attached else "line", key, i, attached or last or beside or upper))
+                out.append(("title" if title else "numbered" if attached else "line", key, i, bool(_SET_APART.search(s)) or last or beside or upper))
 
 
 def scan(rows: DataFrame, known: frozenset[str], corrected: dict[str, str]) -> DataFrame:
@@ -327,8 +329,9 @@ def headers(evidence: DataFrame, rows: DataFrame) -> DataFrame:
 
     A header is a line that returns at HEADER_TIMES places or more of one table's reading of a document
     (a place read twice counts once) and is none of its titles. Where it has less than a twentieth of the
-    document's rows, a quarter of its places have to look like page breaks: beside a page number, last
-    in their block, in capitals.
+    document's rows, half of its places, and three at least, have to look like page breaks: with or beside a page
+    number, last in their block, in capitals. Lines that differ from a header only after its first comma or dash
+    (its year, say) are headers too.
     """
     places = (
         evidence.where("kind in ('line', 'numbered', 'title')")
@@ -339,19 +342,18 @@ def headers(evidence: DataFrame, rows: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.count_if("strong").alias("strong"), F.max("title").alias("title")
     )
     size = rows.groupBy("doc_id", "tab").agg(F.count(F.lit(1)).alias("rows"))
-    return (
+    often = F.col("n") * 20 >= F.col("rows")
+    breaks = (F.col("strong") >= 3) & (F.col("strong") * 2 >= F.col("n"))
+    known = (
         lines.join(size, ["doc_id", "tab"])
         .groupBy("doc_id", "k")
-        .agg(
-            F.max("title").alias("title"),
-            F.max(
-                (F.col("n") >= HEADER_TIMES)
-                & ((F.col("n") * 20 >= F.col("rows")) | (F.col("strong") * 4 >= F.col("n")))
-            ).alias("returns"),
-        )
-        .where("returns and not title")
-        .select("doc_id", "k")
+        .agg(F.max("title").alias("title"), F.max((F.col("n") >= HEADER_TIMES) & (often | breaks)).alias("returns"))
+        .where("not title")
+        .withColumn("stem", F.element_at(F.split("k", " - |, "), 1))
     )
+    known = materialize(known, "lines")
+    stems = known.where("returns").select("doc_id", "stem").distinct()
+    return known.join(stems, ["doc_id", "stem"], "left_semi").select("doc_id", "k")
 
 
 class Noise:
