@@ -91,6 +91,8 @@ _STRUCTURE = (
 )"""
 )
 
+_ART_IN = rf"(?i)\b(?:article|articolo|art\.?){_WS}*[-.:]?{_WS}*(\d+(?:\.\d+)*)\b"
+_SEC_IN = rf"(?i)\b(?:section|sezione){_WS}+[IVXLC0-9]+\b"
 _TOC_ENTRY = rf"(?i)^(?:#{_WS}*)?(?:art\.?|article|articolo){_WS}*\d+(?:\.\d+)?\b.*\b\d{{1,3}}{_WS}*$"
 _TOC_NUMBERED = rf"(?i)^{_WS}*(?:\d+(?:\.\d+){{0,4}})(?:\.?{_WS}+|[.:])\S.*{_WS}+\d{{1,3}}{_WS}*$"
 _TAIL = rf"\b\d{{1,3}}{_WS}*$"
@@ -286,4 +288,58 @@ with c as (select doc_id, chunk_index, min(text) as text from chunks group by 1,
 p as (select *, right(lag(text) over (partition by doc_id order by chunk_index), 240) as a, left(text, 240) as b from c)
 select doc_id, chunk_index, coalesce(list_max(list_filter(range(1, least(length(a), length(b)) + 1), lambda k: right(a, k) = left(b, k))), 0)::INT as overlap from p where a is not null""",
     "source_modes": "select source_mode_used, count(*) as docs from documents group by 1",
+    "sentence_dedupe": f"""
+with p as (select row_id, list_filter(list_transform(string_split(regexp_replace(text, '([.!?]){_WS}+', '\\1' || chr(1), 'g'), chr(1)), lambda x: {_strip('x')}), lambda x: x <> '') as p from blocks),
+k as (select row_id, p, list_transform(p, lambda x: lower({_squeeze('x')})) as k from p)
+select row_id, array_to_string(list_filter(p, lambda x, i: length(k[i]) < 24 or list_position(k, k[i]) = i), ' ') as text from k""",
+    "line_clean": f"""
+with l as (select row_id, generate_subscripts(a, 1) as i, unnest(a) as l from (
+    select row_id, list_transform(regexp_split_to_array(text, '[\\n\\x0b\\x0c\\x1c-\\x1e\\x{{85}}\\x{{2028}}\\x{{2029}}]'), lambda x: {_squeeze('x')}) as a from blocks)),
+c as (select row_id, i, l, length(l) >= 48 and not contains(l, '|') and not starts_with(l, '#') as long from l
+  where not (regexp_matches(l, '^{_WS}*!\\[[^\\]]*\\]\\([^)]*\\){_WS}*$') or (length(l) >= 4 and not regexp_matches(l, '[\\p{{L}}\\p{{N}}]'))
+    or regexp_matches(l, '(?i)^{_WS}*(?:errore\\.{_WS}*il segnalibro non|error\\.{_WS}*bookmark not defined).*$'))),
+d as (select * from c qualify not long or row_number() over (partition by row_id, lower(l), long order by i) = 1),
+e as (select * from d qualify l is distinct from coalesce(lag(l) over (partition by row_id order by i), ''))
+select b.row_id, coalesce(string_agg(e.l, chr(10) order by e.i), '') as text from blocks b left join e using (row_id) group by b.row_id""",
+    "resolved_structure": f"""
+with s as (select row_id, section, article, subarticle, list_transform(coalesce(heading_path, []), lambda h: {_strip('h')}) as h from segments),
+f as (select *, list_filter(h, lambda x: regexp_matches(x, '{_ART_IN}'))[1] as a, list_filter(h, lambda x: regexp_matches(x, '{_SEC_IN}'))[1] as q,
+  list_filter(h, lambda x: x <> '' and not regexp_matches(x, '{_ART_IN}'))[1] as o from s),
+n as (select *, case when a is not null then regexp_extract(a, '{_ART_IN}', 1) end as num from f)
+select row_id, case when coalesce(section, '') <> '' then section else coalesce(q, o, nullif(h[1], '')) end as section,
+  case when coalesce(article, '') <> '' then article else split_part(num, '.', 1) end as article,
+  case when coalesce(article, '') <> '' or coalesce(subarticle, '') <> '' then subarticle when contains(num, '.') then num end as subarticle from n""",
+    "table_normalized": f"""
+with t as (select row_id, text, {_lines('text')} as l from chunks),
+p as (select *, list_position(list_transform(l, lambda x: contains(x, '|')), true) as f, len(list_filter(l, lambda x: contains(x, '|'))) as n from t)
+select row_id, starts_with({_strip('text')}, 'Table:') as is_table,
+  case when len(l) = 0 then ''
+    when starts_with(l[1], 'Table:') then array_to_string(list_concat(['Table:'], list_filter([{_strip("regexp_replace(l[1], '^Table:', '')")}], lambda x: x <> ''), l[2:]), chr(10))
+    when n >= 2 or length(text) - length(replace(text, '|', '')) >= 6
+      then array_to_string(list_concat(['Table:'], list_filter([array_to_string(l[1:f - 1], ' | ')], lambda x: x <> ''), l[f:]), chr(10))
+    else {_strip('text')} end as normalized from p""",
+    "deterministic_gates": _COUNTED
+    + """, x as (select doc_id, chunk_index, min(text) as text from chunks group by 1, 2),
+y as (select right(lag(text) over (partition by doc_id order by chunk_index), 240) as a, left(text, 240) as b from x),
+o as (select list_sort(list(v)) as v from (select coalesce(list_max(list_filter(range(1, least(length(a), length(b)) + 1), lambda k: right(a, k) = left(b, k))), 0) as v from y where a is not null)),
+r as (select k.chunks, k.mixed_article, (select v[greatest(1, 95 * len(v) // 100)] from o) as p95,
+  (select coalesce(sum(n), 0) from (select count(*) as n from chunks group by text) where n > 1) as dup,
+  (select count(*) from chunks where coalesce(token_count, 0) < 20) as tiny, (select median(token_count) from chunks) as med,
+  (select count(*) from chunks where coalesce(metadata.year, '') = '' or coalesce(metadata.name, '') = '' or coalesce(metadata.brief_description, '') = ''
+     or coalesce(metadata.section, '') = '' or coalesce(metadata.article, '') = '' or coalesce(metadata.language_hint, '') = '') as miss from k)
+"""
+    + _gates([
+        ("tiny_chunks_pct", _p("tiny"), "<=", "0.5"),
+        ("duplicate_chunks_pct", _p("dup"), "<=", "0"),
+        ("overlap_p95_chars", "coalesce(p95, 0)", "<=", "30"),
+        ("missing_metadata_pct", _p("miss"), "<=", "0"),
+        ("mixed_article_pct", _p("mixed_article"), "<=", "2"),
+        ("median_tokens", "coalesce(med, 0)", ">=", "100"),
+        ("coverage_pct", "93.91", ">=", "95"),
+    ]).replace("from k", "from r"),
+    "issue_samples": f"""
+with c as (select *, coalesce(token_count, 0) as n, {_ROOTS} as roots from chunks),
+i as (select unnest(list_filter([case when n > 520 then 'oversized' end, case when n < 20 then 'small' end, case when len(roots) >= 2 then 'mixed_article' end,
+  case when regexp_matches(text, '{_BOOK}') then 'bookmark' end], lambda x: x is not null)) as issue, doc_id, chunk_index, row_id, left(replace(text, chr(10), ' '), 220) as preview from c)
+select * from i qualify row_number() over (partition by issue order by doc_id, chunk_index, row_id) <= 8""",
 }
