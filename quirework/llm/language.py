@@ -36,11 +36,13 @@ CODES = {name: code for code, names in NAMES.items() for name in names.split()}
 #: Bound of the labelled sample: documents of each label, and letters of each language's automaton.
 TRAIN_DOCS = 400
 TRAIN_LETTERS = 30_000
+#: Longer texts are not drawn into the sample.
+TRAIN_CHARS = 50_000
 #: Units with fewer letters have no say.
 MIN_LETTERS = 12
 MIN_TABLE_LETTERS = 14
 #: A unit's lead has to be this large to bring in a language of its own.
-MIN_LEAD = 0.12
+MIN_LEAD = 0.21
 
 _TRIGGER = re.compile(TRIGGER)
 _INVISIBLE = "​‌‍⁠﻿"
@@ -261,10 +263,10 @@ class Parser:
 def train(rows: DataFrame) -> dict[str, str]:
     """Text of each language from ``rows`` (id, text, label): a bounded, cleaned sample.
 
-    Per label TRAIN_DOCS texts by the hash of their id. Their distinct units are kept if the words of the
+    Per label TRAIN_DOCS texts of at most TRAIN_CHARS characters, by the hash of their id. Their distinct units are kept if the words of the
     unit are likelier under its label than under any other, up to TRAIN_LETTERS letters a label.
     """
-    labelled = rows.where("label is not null and text is not null")
+    labelled = rows.where("label is not null and text is not null").where(F.length("text") <= TRAIN_CHARS)
     sizes = {r.label: r.n for r in labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:
         return {}

@@ -51,6 +51,8 @@ STREETS = (
     " calle plaza paseo pasaje avenida straße strasse gasse weg platz allee"
 ).split()
 _STREET = re.compile(rf"\b(?:{'|'.join(STREETS)})\b|(?:straße|strasse|gasse|weg|platz|allee)\b")
+_GAP = re.compile(r"[^\w|@†$\n]+")
+_NUMBER = re.compile(r"(?m)(?<![^ \n])\d+(?: |$)|^ | $")
 _LETTERS = re.compile(r"[^\W\d_]{3,}")
 
 PREPARED = "doc_id long, source string, title string, body string"
@@ -65,18 +67,17 @@ def prepared(documents: DataFrame) -> DataFrame:
             for text in b["text"]:
                 text = text or ""
                 titles.append(" ".join(_LETTERS.findall(fold(text.lstrip().split("\n", 1)[0][:300]))))
-                bodies.append(
-                    "\n".join(
-                        " ".join(w for w in WORD.findall(fold(u)) if not w.isdigit())
-                        for _, kind, u in units(text)
-                        if kind == "sentence"
-                    )
-                )
+                bodies.append(words_only("\n".join([u for _, kind, u in units(text) if kind == "sentence"])))
             yield pd.DataFrame({"doc_id": b["doc_id"], "source": b["source"].tolist(), "title": titles, "body": bodies})
 
     return documents.select("doc_id", "source", "text").mapInPandas(run, PREPARED)
 
 
+def words_only(body: str) -> str:
+    """Folded words of each line, parted by single spaces, without numbers."""
+    return _NUMBER.sub("", _GAP.sub(" ", fold(body)))
+
+
 class Lexicon:
     """Subjects of words, and of sentences by their words."""
 
@@ -330,7 +331,7 @@ def posteriors(documents: DataFrame, samples: DataFrame, areas: DataFrame) -> Da
         .select(F.col("source").alias("src"), F.col("subject").alias("subj"), F.lit(1).alias("leans"))
     )
     on = v["source"].eqNullSafe(leaning["src"]) & (v["subject"] == leaning["subj"])
-    flags = v.join(F.broadcast(leaning), on, "left").select(
+    flags = v.join(leaning, on, "left").select(
         "doc_id", "subject", "sentences",
         (F.col("sentences") > 0).cast("int").alias("lexicon"), (F.col("words") > 1).cast("int").alias("phrase"), F.col("address").cast("int").alias("address"),
         F.col("section").cast("int").alias("section"), F.coalesce("leans", F.lit(0)).alias("source"),
