@@ -101,15 +101,16 @@ def run_pipeline(spark: SparkSession, config: PipelineConfig) -> dict:
     documents = all_docs.join(stats, "doc_id").withColumn("stats", fresh).select(*all_docs.columns)
     documents.write.mode("overwrite").parquet(f"{out}/documents")
     final.write.mode("overwrite").parquet(f"{out}/chunks")
-    errors = [
-        {"source_folder": r.folder, "error": "No usable text blocks extracted"}
-        for r in choices.join(all_docs.select("doc_id"), "doc_id", "left_anti").select("folder").collect()
-    ]
-    if errors and config.fail_fast:
-        raise ValueError(f"{errors[0]['source_folder']}: {errors[0]['error']}")
-    results = document_results(all_docs, choices, due)
+    failed = choices.join(all_docs.select("doc_id"), "doc_id", "left_anti").select(
+        F.col("folder").alias("source_folder"), F.lit("No usable text blocks extracted").alias("error")
+    )
+    first = failed.orderBy("source_folder").limit(writers.SHOWN).collect()
+    if first and config.fail_fast:
+        raise ValueError(f"{first[0].source_folder}: {first[0].error}")
+    failed.write.mode("overwrite").parquet(f"{out}/errors")
+    document_results(all_docs, choices, due).write.mode("overwrite").parquet(f"{out}/document_results")
     manifest = writers.run_manifest(
-        all_docs, final, [r.asDict(recursive=True) for r in results.collect()], errors,
+        all_docs, final, [r.asDict() for r in first], failed.count(), document_results=f"{out}/document_results",
         input_dir=config.input_dir, output_dir=config.output_dir, processed_at_utc=datetime.now(UTC).isoformat(),
         incremental={
             "enabled": config.incremental,

@@ -342,4 +342,38 @@ with c as (select *, coalesce(token_count, 0) as n, {_ROOTS} as roots from chunk
 i as (select unnest(list_filter([case when n > 520 then 'oversized' end, case when n < 20 then 'small' end, case when len(roots) >= 2 then 'mixed_article' end,
   case when regexp_matches(text, '{_BOOK}') then 'bookmark' end], lambda x: x is not null)) as issue, doc_id, chunk_index, row_id, left(replace(text, chr(10), ' '), 220) as preview from c)
 select * from i qualify row_number() over (partition by issue order by doc_id, chunk_index, row_id) <= 8""",
+    "toc_merged": f"""
+with s0 as (select doc_id, seg_no, text, section, heading_path from segments qualify row_number() over (partition by doc_id, seg_no order by row_id) = 1),
+s1 as (select *, {_strip('text')} as t, {_lines('text')} as l from s0),
+s2 as (select *, {_hits('l', _TOC_ENTRY)} as e, {_hits('l', _TOC_NUMBERED)} as m, {_hits('l', _TAIL)} as p, {_hits('l', f'(?i)art{chr(92)}.?{_WS}*{chr(92)}d+')} as a from s1),
+s3 as (select *, t <> '' and (regexp_matches(coalesce(array_to_string(heading_path, ' '), ''), '{_TOC_WORD}') or regexp_matches(left(t, 240), '{_TOC_WORD}')
+     or (len(l) >= 3 and (e >= 3 or m >= 3 or ((e >= 2 or m >= 2) and p >= 3) or a >= 5))) as toc,
+   coalesce(len(heading_path), 0) = 0 and len(l) >= 2 and greatest(e, m, p) >= 2 as cont from s2),
+s4 as (select *, toc or (cont and coalesce(max(case when toc then seg_no end) over w, -1) > coalesce(max(case when not toc and not cont then seg_no end) over w, -1)) as inside
+   from s3 window w as (partition by doc_id order by seg_no rows between unbounded preceding and current row)),
+s5 as (select *, sum((inside and not prev)::INT) over (partition by doc_id order by seg_no) as run
+   from (select *, coalesce(lag(inside) over (partition by doc_id order by seg_no), false) as prev from s4)),
+g as (select doc_id, min(seg_no) as seg_no, string_agg(t, chr(10) || chr(10) order by seg_no) as whole, list(t order by seg_no) as parts from s5 where inside group by doc_id, run)
+select doc_id, seg_no, section, length(text)::INT as chars from s5 where not inside
+union all select doc_id, seg_no, 'TABLE OF CONTENTS', length(case when {token_sql('whole')} > 480
+   then 'TABLE OF CONTENTS' || chr(10) || chr(10) || {_strip("array_to_string(parts[1:20], chr(10))")} else whole end)::INT from g""",
+    "document_meta": rf"""
+with {_BLOCKS}, n as (select *, row_number() over (partition by doc_id order by pos) - 1 as n, {_strip("regexp_replace(" + _strip('text') + ", '^#+', '')")} as t from b0),
+w as (select *, list_transform(regexp_extract_all(lower(t), '[A-Za-zÀ-ÿ0-9'']+'), lambda x: x) as words from n),
+c as (select *, case when len(words) = 0 then -1 else least(length(t), 120) + least(len(words), 16) * 5
+   - 20 * len(list_filter(words, lambda x: x in ('call', 'bando', 'notice', 'avviso', 'announcement', 'regulation', 'regolamento', 'policy', 'guidelines'))) end as score
+   from w where block_type = 'title' and len(page_refs) > 0 and page_refs[1].page_idx <= 1 and length(t) >= 4 and not contains(lower(t), 'art.')),
+best as (select doc_id, t as bt, score from c qualify row_number() over (partition by doc_id order by score desc, n) = 1),
+eight as (select doc_id, arg_min(t, n) as first from n where length(t) >= 8 group by 1),
+said as (select doc_id, trim(regexp_replace(string_agg({_strip('text')}, ' ' order by n), '{_WS}+', ' ', 'g')) as joined from (
+   select * from n where block_type <> 'title' and length({_strip('text')}) >= 60 and not starts_with(lower(text), 'table:') qualify row_number() over (partition by doc_id order by n) <= 3) group by 1),
+look as (select doc_id, string_agg(text, chr(10) order by n) as text from n where n < 30 group by 1),
+lang as (select doc_id, len(list_filter(regexp_extract_all(lower(text), '[a-z'']+'), lambda x: x in ('articolo', 'sezione', 'borsa', 'studenti', 'domanda', 'graduatoria', 'requisiti'))) as it,
+   len(list_filter(regexp_extract_all(lower(text), '[a-z'']+'), lambda x: x in ('article', 'section', 'scholarship', 'students', 'application', 'ranking', 'requirements'))) as en,
+   coalesce({_span(_AY)}, {_span(chr(92) + 'b' + _YEAR_SPAN)}, nullif(regexp_extract(text, '(20\d{{2}})', 1), '')) as year from look),
+size as (select doc_id, count(*)::INT as blocks from b0 group by 1),
+d as (select size.doc_id, blocks, year, it, en, joined, coalesce(case when score >= 20 then trim(split_part(bt, chr(10), 1)) end, first, '') as name
+   from size left join best using (doc_id) left join eight using (doc_id) left join said using (doc_id) left join lang using (doc_id))
+select doc_id, name, year, coalesce(case when length(joined) > 320 then rtrim(left(joined, 317)) || '...' else joined end, name) as brief_description,
+  case when it >= 3 and it > en then 'it' when en >= 3 and en >= it then 'en' end as language_hint, blocks from d""",
 }

@@ -27,16 +27,20 @@ def write_json_lines(df: DataFrame, path: str, order: list[str], keep_nulls: tup
     df.orderBy(*order).select(F.regexp_replace(body, r",\}$", "}").alias("value")).write.mode("overwrite").text(path)
 
 
-def run_manifest(documents: DataFrame, chunks: DataFrame, results: list[dict], errors: list[dict], **more: object) -> dict:
-    """Counts of a run; only aggregates come to the driver."""
+#: Errors shown in a manifest; all of them are in the table beside it.
+SHOWN = 100
+
+
+def run_manifest(documents: DataFrame, chunks: DataFrame, errors: list[dict], error_count: int, **more: object) -> dict:
+    """Counts of a run and its first errors. Results by document stay a table; only aggregates come to the driver."""
     modes = {r.source_mode_used or "unknown": r["count"] for r in documents.groupBy("source_mode_used").count().collect()}
     return {
         **more,
         "documents": sum(modes.values()),
         "chunks": chunks.count(),
         "source_modes": modes,
-        "document_results": results,
         "errors": errors,
+        "error_count": error_count,
     }
 
 

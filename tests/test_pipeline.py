@@ -89,7 +89,9 @@ def test_run_reuse_and_change(spark, folders, tmp_path):
 
     again = run_pipeline(spark, config(folders, tmp_path))
     assert again["incremental"] == {"enabled": True, "processed_documents": 0, "reused_documents": 4}
-    assert again["chunks"] == m["chunks"]
+    assert again["chunks"] == m["chunks"] and m["error_count"] == 1
+    results = spark.read.parquet(again["document_results"]).collect()
+    assert len(results) == 4 and all(r.reused and r.fallback_reason == "incremental reuse" for r in results)
     write(folders / "delta" / "a.md", "# Notes\n\nA wholly different paragraph that stands alone and has quite enough words to make up a chunk of its own today.\n")
     third = run_pipeline(spark, config(folders, tmp_path))
     assert third["incremental"]["processed_documents"] == 1 and third["incremental"]["reused_documents"] == 3
