@@ -6,16 +6,17 @@ address (street names), the section (its title) and the source. Nobody knows the
 expectation maximisation from how they agree and differ over all documents, and a document gets the
 subjects of high posterior probability that at least one whole sentence is about.
 
-The lexicon starts from the labelled samples, some of which are wrong, and is learned from the
-collection: sentences vote for a subject of their document, and a word belongs to a subject if the
-documents that hold it do, counted over all of them. Words that stand everywhere (and the names in
-addresses, which do) thereby fall out.
+The lexicon starts from the labelled samples, some of which are wrong or lacking for a language, and is
+learned from the collection: sentences vote for a subject of their document, and a word belongs to a
+subject if the documents that hold it do, counted over all of them. Words that stand everywhere (and the
+names in addresses, which do) thereby fall out. Words spelled alike carry a subject to other languages.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from difflib import SequenceMatcher
@@ -33,8 +34,15 @@ MAX_SAMPLES = 100_000
 #: Words sent to the tasks at most, the most widespread first.
 MAX_LEXICON = 50_000
 KNOWN_WORDS = 50_000
-ROUNDS = 4
-TITLE_WORDS = 5_000
+#: Rounds of learning at most; it ends before when no more than one word in STABLE comes, goes or changes its subject.
+ROUNDS = 5
+STABLE = 20
+#: Weights of a subject's very name in a title, and of a word spelled like it: either settles a document's subject
+#: while the lexicon is learned.
+NAMED = 3.0
+LIKE_NAMED = 2.0
+#: The most widespread words are compared with those of known subject.
+LIKE_WORDS = 20_000
 #: A word belongs to a subject if this share of the documents that hold it (and have a subject) are about it,
 PURITY = 0.6
 #: if at 1.96 standard errors the share is still this large (four of four documents are just enough),
@@ -67,7 +75,7 @@ def prepared(documents: DataFrame) -> DataFrame:
             for text in b["text"]:
                 text = text or ""
                 titles.append(" ".join(_LETTERS.findall(fold(text.lstrip().split("\n", 1)[0][:300]))))
-                bodies.append(words_only("\n".join([u for _, kind, u in units(text) if kind == "sentence"])))
+                bodies.append(prepare(text))
             yield pd.DataFrame({"doc_id": b["doc_id"], "source": b["source"].tolist(), "title": titles, "body": bodies})
 
     return documents.select("doc_id", "source", "text").mapInPandas(run, PREPARED)
@@ -81,8 +89,8 @@ def words_only(body: str) -> str:
 class Lexicon:
     """Subjects of words, and of sentences by their words."""
 
-    def __init__(self, weights: dict[str, tuple[str, float]], known: frozenset[str] = frozenset()):
-        self.weights, self.known = weights, known
+    def __init__(self, weights: dict[str, tuple[str, float]], known: frozenset[str] = frozenset(), frames: frozenset[str] = frozenset()):
+        self.weights, self.known, self.frames = weights, known, frames
         self.memo: dict[str, tuple[str, float, int] | None] = {}
 
     def sentence(self, s: str) -> tuple[str, float, int] | None:
@@ -109,35 +117,80 @@ class Lexicon:
         return best
 
 
-def seed_words(samples: list[tuple[str | None, str | None]]) -> dict[str, tuple[str, float]]:
-    """Weights of the words of labelled samples: how much their samples agree, less for few and for common ones."""
+def seed_words(samples: list[tuple[str | None, str | None]]) -> tuple[dict[str, tuple[str, float]], frozenset[str]]:
+    """(seeds, frame words) of the labelled samples.
+
+    Frame words are the longer words that samples of several subjects share: what is said of any subject. A sentence
+    with two of them is about some subject, and its other words are seeds if nearly all their samples agree. The
+    words of other sentences, which stand beside any subject, are thereby left out.
+    """
+    texts = [(prepare(t or ""), s) for t, s in samples if s]
+    shared: dict[str, Counter[str]] = defaultdict(Counter)
+    for body, s in texts:
+        for w in set(body.split()):
+            shared[w][s] += 1
+    frames = frozenset(w for w, c in shared.items() if len(w) > 4 and sum(c.values()) >= 4 and len(c) >= 4)
     by: dict[str, Counter[str]] = defaultdict(Counter)
-    n: Counter[str] = Counter()
-    for text, subject in samples:
-        if text and subject:
-            n[subject] += 1
-            for w in set(WORD.findall(fold(text))):
-                if not w.isdigit() and len(w) > 3:
-                    by[w][subject] += 1
+    for body, s in texts:
+        for line in body.split("\n"):
+            words = line.split()
+            if is_framed(words, frames):
+                for w in words:
+                    if len(w) > 3 and w not in frames:
+                        by[w][s] += 1
     out = {}
     for w, c in by.items():
         s, k = max(sorted(c.items()), key=lambda x: x[1])
-        total = sum(c.values())
-        if k / total > 0.5:
-            out[w] = (s, k / (total + 1.0))
-    return out
+        if k / sum(c.values()) >= 0.75:
+            out[w] = (s, k / (sum(c.values()) + 0.5))
+    return out, frames
+
+
+def is_framed(words: list[str], frames: frozenset[str]) -> bool:
+    return sum(w in frames for w in words) >= 2
+
+
+def prepare(text: str) -> str:
+    """Folded sentences of a text, one a line."""
+    return words_only("\n".join([u for _, kind, u in units(text) if kind == "sentence"]))
+
 
+def decided(votes: dict[str, float]) -> str | None:
+    """The subject with the most votes, if they amount to one sentence and to half as many again as any other's."""
+    if not votes:
+        return None
+    ranked = sorted(votes.items(), key=lambda x: (-x[1], x[0]))
+    second = ranked[1][1] if len(ranked) > 1 else 0.0
+    return ranked[0][0] if ranked[0][1] >= 0.7 and ranked[0][1] >= 1.5 * second else None
 
-def word_subjects(docs: DataFrame, lexicon: dict[str, tuple[str, float]], subjects: list[str], everywhere: bool) -> DataFrame:
-    """(word, subject, n): in how many documents of each subject a word stands; if ``everywhere``, under '' of all documents.
 
-    A document's subject is the one most of its sentences vote for; title words are counted as ``title:word``.
+def word_subjects(
+    docs: DataFrame, lexicon: dict[str, tuple[str, float]], frames: frozenset[str], subjects: list[str], everywhere: bool
+) -> DataFrame:
+    """(word, subject, n): in how many documents of each subject a word stands in a framed sentence.
+
+    If ``everywhere``, counts over all documents are given under ''.
+
+    A document's subject is the one its title names, else the one its sentences clearly vote for, if any
+    (:func:`decided`); title words are counted as ``title:word``.
     Counts are taken per task first, over every document.
     """
-    held = docs.sparkSession.sparkContext.broadcast(lexicon)
+    held = docs.sparkSession.sparkContext.broadcast((lexicon, frames))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lex = Lexicon(held.value)
+        lexicon_, frames_ = held.value
+        lex = Lexicon(lexicon_)
+        framed: dict[str, frozenset[str]] = {}
+
+        def topical(s: str) -> frozenset[str]:
+            words = framed.get(s)
+            if words is None:
+                if len(framed) > 200_000:
+                    framed.clear()
+                said = s.split(" ")
+                words = framed[s] = frozenset(said) - frames_ if is_framed(said, frames_) else frozenset()
+            return words
+
         counts: dict[str, Counter[str]] = {s: Counter() for s in ["", *subjects]}
 
         def out() -> pd.DataFrame:
@@ -149,19 +202,25 @@ def word_subjects(docs: DataFrame, lexicon: dict[str, tuple[str, float]], subjec
         for b in batches:
             for title, body in zip(b["title"], b["body"]):
                 votes: Counter[str] = Counter()
-                for s in [*body.split("\n"), *("title:" + w for w in title.split(" "))]:
+                said = [(s, t) for s in body.split("\n") if (t := topical(s))]
+                for s, _ in said:
                     hit = lex.sentence(s)
                     if hit:
                         votes[hit[0]] += min(1.0, hit[1])
-                if not (votes or everywhere):
+                names = [x for w in title.split(" ") if (x := lexicon_.get("title:" + w))]
+                sure = {s for s, weight in names if weight >= LIKE_NAMED}
+                for s, weight in names:
+                    votes[s] += weight
+                subject = sure.pop() if len(sure) == 1 else decided(votes)
+                if not (subject or everywhere):
                     continue
-                words = set(body.replace("\n", " ").split(" "))
+                words = set().union(*(t for _, t in said))
                 words.update("title:" + w for w in title.split(" "))
                 words.add("*")
                 if everywhere:
                     counts[""].update(words)
-                if votes:
-                    counts[max(sorted(votes.items()), key=lambda x: x[1])[0]].update(words)
+                if subject:
+                    counts[subject].update(words)
             if sum(map(len, counts.values())) > 500_000:
                 yield out()
         yield out()
@@ -208,15 +267,36 @@ def pure_words(counts: DataFrame, everywhere: DataFrame) -> dict[str, tuple[str,
     return {r.word: (r.subject, float(r.purity)) for r in rows}
 
 
-def _cognates(lexicon: dict[str, tuple[str, float]], everywhere: DataFrame) -> dict[str, tuple[str, float]]:
-    """Title words spelled almost as one that names a subject; the TITLE_WORDS most widespread are compared."""
-    named = sorted((w[6:], x[0]) for w, x in lexicon.items() if w.startswith("title:"))
-    rows = everywhere.where("word like 'title:%'").orderBy(F.desc("docs"), "word").limit(TITLE_WORDS).collect()
+def plain_letters(w: str) -> str:
+    return "".join(c for c in unicodedata.normalize("NFD", w) if not unicodedata.combining(c))
+
+
+def cognates(lexicon: dict[str, tuple[str, float]], words: list[str]) -> dict[str, tuple[str, float]]:
+    """Words spelled nearly like others whose subject is known, with the subject those agree on.
+
+    Subjects are named alike in many languages, so what is known in one carries over to another. A word's own label
+    doesn't count; words whose likes disagree get none, unless one is a subject's very name. Words are compared if their first three letters are equal, those
+    of titles with those of titles.
+    """
+    likes: dict[tuple[bool, str], list[tuple[str, str, str]]] = defaultdict(list)
+    for w, (s, _) in sorted(lexicon.items()):
+        t = plain_letters(w.removeprefix("title:"))
+        likes[w.startswith("title:"), t[:3]].append((t, s, w))
     out = {}
-    for w in (r.word[6:] for r in rows if r.word not in lexicon):
-        near = {s for t, s in named if w[:4] == t[:4] and SequenceMatcher(None, w, t).ratio() >= 0.75}
-        if len(near) == 1:
-            out["title:" + w] = (near.pop(), 0.75)
+    for w in words:
+        titled = w.startswith("title:")
+        t = plain_letters(w.removeprefix("title:"))
+        if len(t) < 5:
+            continue
+        near, named = set(), set()
+        for u, s, own in likes.get((titled, t[:3]), ()):
+            if own != w and abs(len(u) - len(t)) <= 4:
+                m = SequenceMatcher(None, t, u, autojunk=False)
+                if m.quick_ratio() >= 0.75 and m.ratio() >= 0.75:
+                    (named if own == "title:" + s else near).add(s)
+        agreed = named or near
+        if len(agreed) == 1:
+            out[w] = (agreed.pop(), LIKE_NAMED if titled else 0.5)
     return out
 
 
@@ -224,17 +304,21 @@ def learn(docs: DataFrame, samples: DataFrame, areas: DataFrame) -> tuple[dict[s
     """(lexicon, known words, subjects) learned from the samples and the prepared documents."""
     subjects = sorted({r.subject for r in areas.select("subject").where("subject is not null").collect()})
     drawn = samples.where(F.col("subject").isin(subjects)).orderBy("sample_id").limit(MAX_SAMPLES).collect()
-    lexicon = seed_words([(r.text, r.subject) for r in drawn])
-    names = {"title:" + s: (s, 1.0) for s in subjects}
-    lexicon |= names
+    names = {"title:" + s: (s, NAMED) for s in subjects}
+    seeds, frames = seed_words([(r.text, r.subject) for r in drawn])
+    lexicon = voters = seeds | names
     for k in range(ROUNDS):
-        counts = materialize(word_subjects(docs, lexicon, subjects, k == 0), "word-subjects")
+        counts = materialize(word_subjects(docs, voters, frames, subjects, k == 0), "word-subjects")
         if k == 0:
             everywhere = counts.where("subject = ''").select("word", F.col("n").alias("docs"))
-        learned = pure_words(counts, everywhere)
-        if learned:
-            lexicon = names | learned
-        lexicon |= _cognates(lexicon, everywhere)
+            common = everywhere.where("docs > 2 and length(word) > 4").orderBy(F.desc("docs"), "word").limit(LIKE_WORDS)
+            words = [r.word for r in common.select("word").collect()]
+        before, lexicon = lexicon, pure_words(counts, everywhere) | names
+        # The likes of a word outvote its own label for the next round only: a wrong sample may have set that.
+        voters = lexicon | cognates(lexicon, words)
+        changed = sum(before.get(w, ("",))[0] != s for w, (s, _) in lexicon.items()) + len(before.keys() - lexicon.keys())
+        if k > 1 and changed * STABLE <= len(lexicon):
+            break
     top = everywhere.where("word not like 'title:%' and docs > 2").orderBy(F.desc("docs"), "word").limit(KNOWN_WORDS)
     known = frozenset(r.word for r in top.select("word").collect())
     return lexicon, known, subjects
@@ -253,6 +337,7 @@ def votes(docs: DataFrame, lexicon: dict[str, tuple[str, float]], known: frozens
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words, known_, title_words, name_stems = held.value
         lex = Lexicon(words, known_)
+        streets: dict[str, set[str]] = {}
         for b in batches:
             out = []
             for doc_id, source, title, text in zip(b["doc_id"], b["source"], b["title"], b["body"]):
@@ -264,8 +349,14 @@ def votes(docs: DataFrame, lexicon: dict[str, tuple[str, float]], known: frozens
                     if hit:
                         n[hit[0]] += 1
                         mentions[hit[0]] = max(mentions[hit[0]], hit[2])
-                    elif _STREET.search(s):
-                        address.update(name_stems[w[:5]] for w in s.split(" ") if w[:5] in name_stems)
+                        continue
+                    named = streets.get(s)
+                    if named is None:
+                        if len(streets) > 200_000:
+                            streets.clear()
+                        named = {name_stems[w[:5]] for w in s.split(" ") if w[:5] in name_stems} if _STREET.search(s) else set()
+                        streets[s] = named
+                    address |= named
                 section = {title_words[w] for w in title.split(" ") if w in title_words}
                 for s in sorted({*n, *address, *section}):
                     out.append((doc_id, source, s, n[s], mentions[s], s in address, s in section))
