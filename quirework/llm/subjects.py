@@ -41,6 +41,9 @@ STABLE = 20
 #: while the lexicon is learned.
 NAMED = 3.0
 LIKE_NAMED = 2.0
+#: A word of the lexicon stands in framed sentences in at least this share of its documents.
+FRAMED = 0.5
+ANYWHERE = "\x00"
 #: The most widespread words are compared with those of known subject.
 LIKE_WORDS = 20_000
 #: A word belongs to a subject if this share of the documents that hold it (and have a subject) are about it,
@@ -169,7 +172,7 @@ def word_subjects(
 ) -> DataFrame:
     """(word, subject, n): in how many documents of each subject a word stands in a framed sentence.
 
-    If ``everywhere``, counts over all documents are given under ''.
+    If ``everywhere``, counts over all documents are given under '', and those of any sentence under ANYWHERE.
 
     A document's subject is the one its title names, else the one its sentences clearly vote for, if any
     (:func:`decided`); title words are counted as ``title:word``.
@@ -191,7 +194,7 @@ def word_subjects(
                 words = framed[s] = frozenset(said) - frames_ if is_framed(said, frames_) else frozenset()
             return words
 
-        counts: dict[str, Counter[str]] = {s: Counter() for s in ["", *subjects]}
+        counts: dict[str, Counter[str]] = {s: Counter() for s in ["", ANYWHERE, *subjects]}
 
         def out() -> pd.DataFrame:
             rows = [(w, s, k) for s, c in counts.items() for w, k in c.items()]
@@ -219,6 +222,7 @@ def word_subjects(
                 words.add("*")
                 if everywhere:
                     counts[""].update(words)
+                    counts[ANYWHERE].update(set(body.replace("\n", " ").split(" ")))
                 if subject:
                     counts[subject].update(words)
             if sum(map(len, counts.values())) > 500_000:
@@ -236,12 +240,13 @@ def word_subjects(
 def pure_words(counts: DataFrame, everywhere: DataFrame) -> dict[str, tuple[str, float]]:
     """Words of one subject, with their purity as weight; at most MAX_LEXICON, the most widespread first."""
     shares = {r.subject: r.n for r in counts.where("word = '*'").collect()}
-    total = max(1, sum(n for s, n in shares.items() if s))
-    prior = F.create_map(*[x for s, n in shares.items() if s for x in (F.lit(s), F.lit(n / total))]) if len(shares) > 1 else None
+    shares = {s: n for s, n in shares.items() if s and s != ANYWHERE}
+    total = max(1, sum(shares.values()))
+    prior = F.create_map(*[x for s, n in shares.items() for x in (F.lit(s), F.lit(n / total))]) if shares else None
     if prior is None:
         return {}
     z2 = F.lit(1.96**2)
-    labelled = counts.where("subject <> '' and word <> '*'")
+    labelled = counts.where((F.col("subject") != "") & (F.col("subject") != ANYWHERE) & (F.col("word") != "*"))
     best = labelled.groupBy("word").agg(
         F.max_by("subject", F.struct("n", "subject")).alias("subject"), F.max("n").alias("k"), F.sum("n").alias("labelled")
     )
@@ -256,6 +261,7 @@ def pure_words(counts: DataFrame, everywhere: DataFrame) -> dict[str, tuple[str,
             (F.col("purity") >= PURITY)
             & (F.col("sure") >= SURE)
             & (F.col("labelled") / F.col("docs") >= LABELLED)
+            & (F.col("docs") >= FRAMED * F.coalesce("any_docs", "docs"))
             & F.regexp_like("word", F.lit(r"^(?:title:)?\p{L}+$"))
             & (F.col("purity") * (1 - F.col("prior")) >= LIFT * F.col("prior") * (1 - F.col("purity")))
             & (F.length(F.regexp_replace("word", "^title:", "")) > 3)
@@ -310,7 +316,9 @@ def learn(docs: DataFrame, samples: DataFrame, areas: DataFrame) -> tuple[dict[s
     for k in range(ROUNDS):
         counts = materialize(word_subjects(docs, voters, frames, subjects, k == 0), "word-subjects")
         if k == 0:
-            everywhere = counts.where("subject = ''").select("word", F.col("n").alias("docs"))
+            anywhere = counts.where(F.col("subject") == ANYWHERE).select("word", F.col("n").alias("any_docs"))
+            everywhere = counts.where("subject = ''").select("word", F.col("n").alias("docs")).join(anywhere, "word", "left")
+            everywhere = materialize(everywhere, "everywhere")
             common = everywhere.where("docs > 2 and length(word) > 4").orderBy(F.desc("docs"), "word").limit(LIKE_WORDS)
             words = [r.word for r in common.select("word").collect()]
         before, lexicon = lexicon, pure_words(counts, everywhere) | names
@@ -319,7 +327,7 @@ def learn(docs: DataFrame, samples: DataFrame, areas: DataFrame) -> tuple[dict[s
         changed = sum(before.get(w, ("",))[0] != s for w, (s, _) in lexicon.items()) + len(before.keys() - lexicon.keys())
         if k > 1 and changed * STABLE <= len(lexicon):
             break
-    top = everywhere.where("word not like 'title:%' and docs > 2").orderBy(F.desc("docs"), "word").limit(KNOWN_WORDS)
+    top = anywhere.where("any_docs > 2").orderBy(F.desc("any_docs"), "word").limit(KNOWN_WORDS)
     known = frozenset(r.word for r in top.select("word").collect())
     return lexicon, known, subjects
 
