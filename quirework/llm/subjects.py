@@ -123,7 +123,7 @@ class Lexicon:
 def seed_words(samples: list[tuple[str | None, str | None]]) -> tuple[dict[str, tuple[str, float]], frozenset[str]]:
     """(seeds, frame words) of the labelled samples.
 
-    Frame words are the longer words that samples of several subjects share: what is said of any subject. A sentence
+    Frame words are the longer words that samples of several subjects (four, where there are so many) share: what is said of any subject. A sentence
     with two of them is about some subject, and its other words are seeds if nearly all their samples agree. The
     words of other sentences, which stand beside any subject, are thereby left out.
     """
@@ -132,7 +132,8 @@ def seed_words(samples: list[tuple[str | None, str | None]]) -> tuple[dict[str,
     for body, s in texts:
         for w in set(body.split()):
             shared[w][s] += 1
-    frames = frozenset(w for w, c in shared.items() if len(w) > 4 and sum(c.values()) >= 4 and len(c) >= 4)
+    several = max(2, min(4, len({s for _, s in texts})))
+    frames = frozenset(w for w, c in shared.items() if len(w) > 4 and sum(c.values()) >= 4 and len(c) >= several)
     by: dict[str, Counter[str]] = defaultdict(Counter)
     for body, s in texts:
         for line in body.split("\n"):
