@@ -4,7 +4,7 @@ Method: the n-grams of SEED words of every item seed the search (in the corpus t
 nature; none is dropped for being frequent, so no occurrence is lost). Where seeds fall, the
 passage around them is aligned with the item by Smith-Waterman over words, which scores edited
 copies. A document holds an item if its unbroken runs of SEED or more of the item's words cover a
-share of the item.
+share of the item. Lines that return in a document are read both ways, as page furniture and as text.
 
 The items are broadcast in blocks of bounded size and the documents are scanned in place: the text
 is never shuffled and nothing grows with the corpus.
@@ -60,14 +60,29 @@ class Index:
                 self.seeds.setdefault(tuple(code[p : p + SEED]), []).append((k, p))
         self.known = frozenset(self.ids)
 
-    def document_words(self, text: str) -> list[str]:
-        """Words of a document without tags and page furniture, words cut at line ends made whole."""
+    def readings(self, text: str) -> Iterator[list[str]]:
+        """Words of a document without tags and page numbers, words cut at line ends made whole.
+
+        Lines that return may be page furniture that interrupts a passage, or a passage that returns: one reading
+        leaves them all out, one keeps them all, and one leaves out those that hold no seed.
+        """
         if _TRIGGER.search(text):
             text = plain(text)
         text = _INVISIBLE.sub("", text)
-        if "\n" in text:
-            text = _CUT.sub(self._join, _drop_furniture(text))
-        return WORD.findall(text.casefold())
+        if "\n" not in text:
+            yield WORD.findall(text.casefold())
+            return
+        text = _FURNITURE.sub("", text)
+        lines, keys, often = _returning(text)
+        seeded = {k for k in often if self._holds_seed(k)}
+        for left_out in (often, often - seeded if seeded else None, set()) if often else (set(),):
+            if left_out is not None:
+                kept = "\n".join(x for x, k in zip(lines, keys) if k not in left_out) if left_out else text
+                yield WORD.findall(_CUT.sub(self._join, kept).casefold())
+
+    def _holds_seed(self, line: str) -> bool:
+        code = [self.ids.get(w, 0) for w in WORD.findall(line)]
+        return any(tuple(code[p : p + SEED]) in self.seeds for p in range(len(code) - SEED + 1))
 
     def _join(self, m: re.Match) -> str:
         """Nothing between two halves of a known word, the break itself elsewhere."""
@@ -79,7 +94,24 @@ class Index:
         """(item_id, words covered, words, share, alignment score) of the items with a seed in ``text``."""
         if not text:
             return []
-        words = self.document_words(text)
+        found: dict[int, tuple[set[int], float]] = {}
+        for words in self.readings(text):
+            for k, seeds in self._seeds_in(words).items():
+                covered, score = found.get(k, (set(), 0.0))
+                size = len(self.coded[k])
+                for _, q in seeds:
+                    covered.update(range(q, q + SEED))
+                for a, b in _regions(seeds, size, len(words)):
+                    score = max(score, smith_waterman([self.ids.get(w, 0) for w in words[a:b]], self.coded[k]) / (2.0 * size))
+                found[k] = covered, score
+        out = []
+        for k, (covered, score) in found.items():
+            item_id, item = self.items[k]
+            out.append((item_id, len(covered), len(item), len(covered) / len(item), score))
+        return out
+
+    def _seeds_in(self, words: list[str]) -> dict[int, list[tuple[int, int]]]:
+        """The places (in ``words``, in the item) of the seeds of each item."""
         get = self.ids.get
         flags = bytes(map(self.known.__contains__, words))
         hits: dict[int, list[tuple[int, int]]] = {}
@@ -89,17 +121,7 @@ class Index:
             for p in range(len(code) - SEED + 1):
                 for k, q in self.seeds.get(tuple(code[p : p + SEED]), ()):
                     hits.setdefault(k, []).append((a + p, q))
-        out = []
-        for k, seeds in hits.items():
-            item_id, item = self.items[k]
-            covered = set()
-            for _, q in seeds:
-                covered.update(range(q, q + SEED))
-            score = 0.0
-            for a, b in _regions(seeds, len(item), len(words)):
-                score = max(score, smith_waterman([get(w, 0) for w in words[a:b]], self.coded[k]) / (2.0 * len(item)))
-            out.append((item_id, len(covered), len(item), len(covered) / len(item), score))
-        return out
+        return hits
 
 
 _RUN = re.compile(b"\x01{%d,}" % SEED)
@@ -108,16 +130,13 @@ _RUN = re.compile(b"\x01{%d,}" % SEED)
 _NUMBERED = re.compile(r"^\d+\s{2,}|\s{2,}\d+$")
 
 
-def _drop_furniture(text: str) -> str:
-    """The text without lines that are page numbers or return three times or more, if short and no sentence."""
-    text = _FURNITURE.sub("", text)
+def _returning(text: str) -> tuple[list[str], list[str], set[str]]:
+    """Lines, their keys, and the keys of lines that return three times or more, if short and no sentence."""
     lines = text.split("\n")
     keys = [" ".join(_NUMBERED.sub("", x.strip()).casefold().split()) if 3 < len(x) <= 100 and x[-1] not in ".;:,?!" else "" for x in lines]
     count = Counter(keys)
     del count[""]
-    if not count or count.most_common(1)[0][1] < 3:
-        return text
-    return "\n".join(x for x, k in zip(lines, keys) if count[k] < 3)
+    return lines, keys, {k for k, n in count.items() if n >= 3}
 
 
 def _regions(seeds: list[tuple[int, int]], item: int, words: int) -> list[tuple[int, int]]:

@@ -90,3 +90,17 @@ def test_smith_waterman_against_plain():
                 h[i][j] = max(0, h[i - 1][j - 1] + (2 if x == y else -1), h[i - 1][j] - 1, h[i][j - 1] - 1)
                 best = max(best, h[i][j])
         assert leak.smith_waterman(a, b) == best
+
+
+def test_passage_that_returns_line_by_line(spark):
+    """A passage repeated with the same line breaks is found, with and without a running header in it."""
+    lines = ["every remote banner delays one missing cloakroom", "and no informal meter copies the banner", "while seven quiet clerks file the yellow reports", "under lamps that nobody ever turns off again"]
+    header = "Register of the northern harbour"
+    plain_doc = "\n".join(["start of it", *lines, "between the places"] * 3)
+    with_header = "\n".join(["start of it", *lines[:2], header, "12", *lines[2:], "between the places"] * 3)
+    words = " ".join(lines).split()
+    narrow = "\n".join(" ".join(words[k : k + 3]) for k in range(0, len(words), 3))
+    docs = [(1, plain_doc), (2, with_header), (3, "\n".join([narrow, "between the places"] * 3)), (4, "\n".join([header] * 4))]
+    d, i = spark.createDataFrame(docs, DOCS), spark.createDataFrame([(1, " ".join(lines))], ITEMS)
+    got = {r.doc_id: r.share for r in leak.overlaps(d, i).collect()}
+    assert set(got) == {1, 2, 3} and got[1] == got[2] == 1.0 and got[3] >= 0.9
