@@ -66,8 +66,10 @@ def chunk_rows(segments: DataFrame, config: PipelineConfig, long: bool = False)
         p = p.where(~large | (F.col("_k") == 1)).drop("_k")
     p = materialize(p, "pieces")
     p = p.withColumn("stub", meta.is_stub(F.col("text"), F.col("_tokens"), config.min_viable_chunk_tokens))
+    # ``emit`` drops these on sight; larger stubs may take in a neighbour first, or be dropped by ``sweep``.
+    p = p.where(~(F.col("stub") & (F.col("_tokens") < config.min_chunk_tokens)))
     p = numbered(p, "doc_id", "_pos", "_ord", long, BLOCK * PIECES)
-    p = islands(p, "_ord", config.min_viable_chunk_tokens, long)
+    p = islands(p, "_ord", config.min_viable_chunk_tokens, long, passing=F.col("stub") & (F.col("_tokens") < config.min_viable_chunk_tokens))
     cols = ["doc_id", "_ord", "text", "_tokens", "stub", "section", "article", "subarticle", "heading_path", "page_refs"]
     p = materialize(p.select("island", *cols), "islands").withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("doc_id", "island")))
     smallest, viable, limit = config.min_chunk_tokens, config.min_viable_chunk_tokens, config.max_tokens

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quirework import schemas
@@ -154,16 +154,19 @@ def merge_toc(segments: DataFrame, max_tokens: int, long: bool = False) -> DataF
 # --- merging small segments ------------------------------------------------------------------
 
 
-def islands(rows: DataFrame, pos: str, small: int, long: bool = False, tokens: str = "_tokens", article: str = "article", section: str = "section") -> DataFrame:
+def islands(rows: DataFrame, pos: str, small: int, long: bool = False, tokens: str = "_tokens", article: str = "article", section: str = "section", passing: Column | None = None) -> DataFrame:
     """Add ``island``: runs of neighbours within which merges of small texts can happen at all.
 
     Merges need equal articles, or equal sections where there is no article; and never join two neighbours
-    that are both large enough. Runs end at both, so a long document is many small groups.
+    that are both large enough. Runs end at both, so a long document is many small groups. Rows that are
+    ``passing`` may go during the fold and make others neighbours, so no run ends beside them.
     """
     key = F.concat_ws("\x00", F.coalesce(article, F.lit("")), F.when(F.coalesce(article, F.lit("")) == "", F.coalesce(section, F.lit(""))).otherwise(""))
-    now = F.struct(key.alias("k"), (F.col(tokens) >= small).alias("big"))
+    passing = F.lit(False) if passing is None else passing
+    now = F.struct(key.alias("k"), (F.col(tokens) >= small).alias("big"), passing.alias("passing"))
     d = scan(rows, "doc_id", pos, {"_prev": ("last", now)}, before=True, long=long)
-    cut = F.col("_prev").isNull() | (F.col("_prev.k") != key) | (F.col("_prev.big") & (F.col(tokens) >= small))
+    apart = (F.col("_prev.k") != key) | (F.col("_prev.big") & (F.col(tokens) >= small))
+    cut = F.col("_prev").isNull() | (apart & ~F.col("_prev.passing") & ~passing)
     return scan(d, "doc_id", pos, {"island": ("sum", cut.cast("int"))}, long=long).drop("_prev")
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quirework import schemas
-from quirework.config import GateConfig
+from quirework.config import GateConfig, PipelineConfig
 from quirework.operators import assemble, dedupe, evaluate, segments
 from quirework.operators.ordered import numbered, scan
 
@@ -154,3 +154,26 @@ def test_coverage(spark):
     c = chunks(spark, [("a", 0, "ab zz", 1, {})])
     got = {r.doc_id: (r.source_chars, r.covered_chars) for r in evaluate.coverage(src, c).collect()}
     assert got == {"a": (4, 2), "b": (0, 0), "d": (2, 0)}
+
+
+def stub_documents(seed):
+    """Documents of small and large texts, some of them with stubs of other articles in between."""
+    r = random.Random(seed)
+    out = [("fixed", 0, "A text of some words that goes on for a while " * 3), ("fixed", 1, "# Title"), ("fixed", 2, "and a small rest of it")]
+    for d in range(12):
+        for k in range(14):
+            kind = r.choice(("small", "small", "large", "stub", "long stub"))
+            words = " ".join(f"w{d}x{k}x{r.randrange(99)}" for _ in range({"small": 14, "large": 60, "stub": 2, "long stub": 27}[kind]))
+            out.append((f"d{d}", k, ("# " if "stub" in kind else "") + words))
+    articles = {"fixed": [None, "2", None]}
+    return [(d, k, t, [(k, None, None)], None, articles[d][k] if d in articles else r.choice((None, "2")), None, []) for d, k, t in out]
+
+
+def test_stubs_between_rows_that_merge(spark, monkeypatch):
+    """Islands give what the fold of whole documents gives."""
+    df = spark.createDataFrame(stub_documents(4), SEG)
+    got = sorted((r.doc_id, r._ord, r.text) for r in assemble.chunk_rows(df, PipelineConfig()).collect())
+    assert [t.endswith("a small rest of it") for d, _, t in got if d == "fixed"] == [True]
+    monkeypatch.setattr(assemble, "islands", lambda rows, *a, **k: rows.withColumn("island", F.lit(0)))
+    whole = sorted((r.doc_id, r._ord, r.text) for r in assemble.chunk_rows(df, PipelineConfig()).collect())
+    assert [(d, t) for d, _, t in got] == [(d, t) for d, _, t in whole]
