@@ -38,6 +38,8 @@ MIN_CONTEXT = 0.25
 MIN_COSINE = 0.25
 #: A header returns at least so often; in documents of many rows it also has to look like one.
 HEADER_TIMES = 3
+#: The second half of a cut word is sought at the start of so many lines.
+CUT_LINES = 4
 #: Entries of a per-task count table before it is passed on.
 FLUSH = 400_000
 
@@ -263,31 +265,33 @@ class Scanner:
         return out
 
     def _cut(self, folded: str, m: re.Match, out: list) -> None:
-        """A word cut at a line end: the second half opens one of the next lines, furniture between."""
+        """A word cut at a line end: the second half opens one of the next lines, furniture between.
+
+        Unless the halves on both sides of the break make a known word, every whole word they may make is handed
+        on ('cut', or 'cut-number' where the second half is a number), numbered by break and line; ``strong`` marks
+        the first of letters only.
+        """
         first = _first_half(folded, m.start())
         if not _LETTERS.search(first):
             return
-        at, doubtful = m.end(), ""
-        for _ in range(4):
+        at, doubtful = m.end(), True
+        for k in range(CUT_LINES):
             n = _NEXT.match(folded, at)
             if n:
                 whole = first + n.group(1)
-                if whole in self.known:
+                known = whole in self.known
+                if known and k == 0:
                     out.append(("hyphen", whole, 0, True))
                     return
-                fix = next((e for e in edits(whole) if e in self.known), None) if len(whole) > 3 else None
-                if fix and not n.group(1).isdigit():
-                    out.append(("hyphen", whole, 0, True))
-                    out.append(("misread", whole, 0, True))
+                letters = doubtful and n.group(1).isalpha()
+                out.append(("cut-number" if n.group(1).isdigit() else "cut", whole, m.start() * CUT_LINES + k, letters))
+                if known:
                     return
-                if not doubtful and n.group(1).isalpha():
-                    doubtful = whole
+                doubtful = doubtful and not letters
             end = folded.find("\n", at)
             if end < 0:
                 break
             at = end + 1
-        if doubtful:
-            out.append(("cut", doubtful, 0, False))
 
     def _lines(self, text: str, title: bool, out: list) -> None:
         lines = [x.strip() for x in text.split("\n")]
@@ -369,6 +373,7 @@ class Noise:
         frequent = frozenset(r.word for r in pairs if r.fix is None and r.n > 1)
         self.evidence = materialize(scan(rows, frequent, {}), "evidence")
         self.known = known
+        self.doubtful = materialize(self._doubtful(), "cuts")
 
     def misread(self) -> DataFrame:
         """(tab, row_id, word, fix)"""
@@ -377,11 +382,39 @@ class Noise:
         )
 
     def cuts(self) -> DataFrame:
-        """(tab, row_id, word): words cut at line ends; doubtful ones if the whole word stands elsewhere."""
-        sure = self.evidence.where("kind = 'hyphen'").select("tab", "row_id", F.col("k").alias("word"))
-        whole = self.stats.where("b is null").select(F.col("a").alias("word"))
-        doubtful = self.evidence.where("kind = 'cut'").select("tab", "row_id", F.col("k").alias("word"))
-        return sure.unionByName(doubtful.join(whole, "word", "left_semi").select("tab", "row_id", "word"))
+        """(tab, row_id, word, fix): words cut at line ends, and what the word stands for if it is misread as well."""
+        sure = self.evidence.where("kind = 'hyphen'").select("tab", "row_id", F.col("k").alias("word"), F.lit(None).cast("string").alias("fix"))
+        return sure.unionByName(self.doubtful)
+
+    def _doubtful(self) -> DataFrame:
+        """As :meth:`cuts`, of the cuts that have to be looked up in the whole vocabulary.
+
+        Of a cut's candidates the first line counts that makes a true word (one that stands twice and is no misreading)
+        or one glyph edits away from it, the most frequent of these; else the first of letters, if it stands anywhere.
+        """
+        cand = self.evidence.where("kind in ('cut', 'cut-number')")
+        words = self.stats.where("b is null").select(F.col("a").alias("target"), "n")
+        true = words.where("n > 1").join(self.corrections.select(F.col("word").alias("target")), "target", "left_anti")
+
+        def edited(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                yield pd.DataFrame([(k, e) for k in b["k"] for e in edits(k)], columns=["k", "target"])
+
+        open_ = cand.where("kind = 'cut' and length(k) > 3").select("k").distinct().mapInPandas(edited, "k string, target string")
+        fixes = open_.join(true, "target").groupBy("k").agg(F.max_by("target", F.struct("n", "target")).alias("fix"))
+        own = cand.select("k").distinct().join(words.withColumnRenamed("target", "k"), "k").select("k", F.lit(True).alias("stands"))
+        own = own.join(true.select(F.col("target").alias("k"), F.lit(True).alias("true")), "k", "left")
+        hit = F.coalesce("true", F.lit(False)) | (F.col("fix").isNotNull() & (F.col("kind") == "cut"))
+        found = F.struct(F.col("k").alias("word"), F.when(F.col("true").isNull() & (F.col("kind") == "cut"), F.col("fix")).alias("fix"))
+        fallback = F.col("strong") & F.coalesce("stands", F.lit(False))
+        return (
+            cand.join(own, "k", "left")
+            .join(fixes, "k", "left")
+            .groupBy("tab", "row_id", F.floor(F.col("line") / CUT_LINES))
+            .agg(F.min_by(F.when(hit, found), F.when(hit, F.col("line"))).alias("hit"), F.max(F.when(fallback, F.col("k"))).alias("else"))
+            .select("tab", "row_id", F.coalesce("hit.word", "else").alias("word"), F.col("hit.fix").alias("fix"))
+            .where("word is not null")
+        )
 
     def header_lines(self) -> DataFrame:
         """(tab, row_id, k, numbered) of every row with a header line."""
@@ -396,7 +429,7 @@ class Noise:
         as_noise = lambda df, name: df.select("tab", "row_id", F.lit(name).alias("noise"))
         return (
             as_noise(self.misread(), "misread")
-            .unionByName(as_noise(self.evidence.where("kind = 'misread'"), "misread"))
+            .unionByName(as_noise(self.cuts().where("fix is not null"), "misread"))
             .unionByName(as_noise(self.cuts(), "hyphen"))
             .unionByName(as_noise(self.evidence.where("kind = 'page'"), "page_number"))
             .unionByName(as_noise(head.where("numbered"), "page_number"))

@@ -75,3 +75,15 @@ def test_titles_and_table_lines_are_no_headers(spark):
 
 def test_edits():
     assert "certificate" in ocr.edits("certificatc") and "minute" in ocr.edits("rninutc") and "in" not in ocr.edits("in")
+
+
+def test_cut_words_beyond_the_frequent_ones(spark, monkeypatch):
+    """What is found doesn't depend on how many words are sent to the tasks."""
+    rows = corpus()
+    for i, (a, b) in enumerate((("candidate", "candi-\nCollegio\ndate"), ("selection", "selec-\nti0n"), ("receipt", "re-\nceipt"), ("permit", "pe-\nCollegio\nrrnit"))):
+        r = next(r for r in rows[i * 40 :] if a in r[5])
+        r[5] = r[5].replace(a, b, 1)
+    whole, _ = found(spark, rows)
+    monkeypatch.setattr(ocr, "KNOWN_WORDS", 3)
+    few, _ = found(spark, rows)
+    assert few == whole and len({i for i, n in few if n == "hyphen"}) >= 4 and len({i for i, n in few if n == "misread"}) >= 2
