@@ -13,6 +13,7 @@ needs never leave the JVM.
 from __future__ import annotations
 
 import html
+import itertools
 import re
 from collections.abc import Iterator
 from html.entities import html5
@@ -357,7 +358,7 @@ def path_scores(parse_result: DataFrame) -> DataFrame:
 ALWAYS = re.compile(r"(^|/)(h[1-6]|td|th|li|formula|md:code|pre|code|wiki:table|env:[^/]*)$|^$")
 NEVER = re.compile(r"(^|/)(comment|script|style|label|template:cn)$")
 THRESHOLD = 1.0
-#: At most this many paths are sent to the tasks; with more, the score is looked up by join instead.
+#: At most this many paths are sent to the tasks; with more, each row gets its own by join.
 MAX_PATHS = 50_000
 
 
@@ -371,22 +372,32 @@ def cleaned(rows: DataFrame) -> DataFrame:
     dropped = scored.where((F.col("score") < THRESHOLD) | F.regexp_like("path", F.lit(NEVER.pattern))).where(
         ~F.regexp_like("path", F.lit(ALWAYS.pattern)) | F.regexp_like("path", F.lit(NEVER.pattern))
     )
-    out = [r.path for r in dropped.select("path").limit(MAX_PATHS + 1).collect()]
+    dropped = materialize(dropped.select("path"), "furniture")
+    cols = ["tab", "row_id", "text", "languages"]
+    out = [r.path for r in dropped.limit(MAX_PATHS + 1).collect()]
     if len(out) > MAX_PATHS:
-        raise ValueError(f"more than {MAX_PATHS} furniture paths; shorten path_key")
-    furniture = p.sparkSession.sparkContext.broadcast(frozenset(out))
+        # Rows of one id may differ, so each is known by its own number.
+        numbered = materialize(p.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+        own = numbered.select("_row", F.explode("paths.path").alias("path")).join(dropped, "path")
+        sets = own.groupBy("_row").agg(F.collect_list("path").alias("furniture"))
+        marked = numbered.join(sets, "_row", "left").select(*cols, F.coalesce("furniture", F.array().cast("array<string>")).alias("furniture"))
+        furniture = None
+    else:
+        marked = p.select(*cols)
+        furniture = p.sparkSession.sparkContext.broadcast(frozenset(out))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             texts = []
-            for text in b["text"]:
+            for text, own in zip(b["text"], b["furniture"] if furniture is None else itertools.repeat(None)):
+                left_out = furniture.value if own is None else set(own)
                 leaves, _ = parse(text)
-                keep = frozenset(k for k in (path_key(x[0]) for x in leaves) if k not in furniture.value)
+                keep = frozenset(k for k in (path_key(x[0]) for x in leaves) if k not in left_out)
                 texts.append(render(leaves, keep))
             yield pd.DataFrame({"tab": b["tab"].tolist(), "row_id": b["row_id"], "text": texts, "languages": b["languages"].tolist()})
 
     schema = "tab string, row_id long, text string, languages array<string>"
-    with_markup = p.select("tab", "row_id", "text", "languages").mapInPandas(run, schema)
+    with_markup = marked.mapInPandas(run, schema)
     rest = rows.join(p.select("tab", "row_id"), ["tab", "row_id"], "left_anti").select(
         "tab", "row_id", F.coalesce("text", F.lit("")).alias("text"), F.array().cast("array<string>").alias("languages")
     )

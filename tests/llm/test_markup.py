@@ -46,3 +46,12 @@ def test_operators(spark):
     assert markup.found(spark.createDataFrame([], SCHEMA)).count() == 0
     assert markup.cleaned(spark.createDataFrame([], SCHEMA)).count() == 0
     assert markup.found(df.where("row_id = 0").union(df.where("row_id = 0"))).count() == 2
+
+
+def test_more_furniture_paths_than_are_sent(spark, monkeypatch):
+    rows = [("t", i, t) for i, (t, _) in enumerate(HOLDS)] + [("t", 50 + i, f"Text {i}. {{{{t{i}}}}} <div><style>a{i}</style></div><p>More, of it.</p>") for i in range(8)]
+    df = spark.createDataFrame([*rows, rows[-1], ("t", 57, "<script>x</script>other text of one id")], SCHEMA)
+    got = sorted((r.row_id, r.text, tuple(r.languages)) for r in markup.cleaned(df).collect())
+    monkeypatch.setattr(markup, "MAX_PATHS", 1)
+    assert sorted((r.row_id, r.text, tuple(r.languages)) for r in markup.cleaned(df).collect()) == got
+    assert len(got) == len(rows) + 2 and not any("style" in t or "a3" in t for _, t, _ in got)
