@@ -31,9 +31,6 @@ from quirework.runtime import materialize
 
 #: Labelled samples read at most, by order of their ids.
 MAX_SAMPLES = 100_000
-#: Words sent to the tasks at most, the most widespread first.
-MAX_LEXICON = 50_000
-KNOWN_WORDS = 50_000
 #: Rounds of learning at most; it ends before when no more than one word in STABLE comes, goes or changes its subject.
 ROUNDS = 5
 STABLE = 20
@@ -44,8 +41,8 @@ LIKE_NAMED = 2.0
 #: A word of the lexicon stands in framed sentences in at least this share of its documents.
 FRAMED = 0.5
 ANYWHERE = "\x00"
-#: The most widespread words are compared with those of known subject.
-LIKE_WORDS = 20_000
+#: So many words are compared with those of known subject in one task.
+LIKE_WORDS = 2_000
 #: A word belongs to a subject if this share of the documents that hold it (and have a subject) are about it,
 PURITY = 0.6
 #: if at 1.96 standard errors the share is still this large (four of four documents are just enough),
@@ -239,7 +236,7 @@ def word_subjects(
 
 
 def pure_words(counts: DataFrame, everywhere: DataFrame) -> dict[str, tuple[str, float]]:
-    """Words of one subject, with their purity as weight; at most MAX_LEXICON, the most widespread first."""
+    """Words of one subject, with their purity as weight."""
     shares = {r.subject: r.n for r in counts.where("word = '*'").collect()}
     shares = {s: n for s, n in shares.items() if s and s != ANYWHERE}
     total = max(1, sum(shares.values()))
@@ -267,8 +264,7 @@ def pure_words(counts: DataFrame, everywhere: DataFrame) -> dict[str, tuple[str,
             & (F.col("purity") * (1 - F.col("prior")) >= LIFT * F.col("prior") * (1 - F.col("purity")))
             & (F.length(F.regexp_replace("word", "^title:", "")) > 3)
         )
-        .orderBy(F.desc("docs"), "word")
-        .limit(MAX_LEXICON)
+        .select("word", "subject", "purity")
         .collect()
     )
     return {r.word: (r.subject, float(r.purity)) for r in rows}
@@ -307,6 +303,19 @@ def cognates(lexicon: dict[str, tuple[str, float]], words: list[str]) -> dict[st
     return out
 
 
+def likes(words: DataFrame, lexicon: dict[str, tuple[str, float]]) -> dict[str, tuple[str, float]]:
+    """:func:`cognates` of every word of ``words`` (word), some words a task."""
+    held = words.sparkSession.sparkContext.broadcast(lexicon)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = cognates(held.value, b["word"].tolist())
+            yield pd.DataFrame([(w, *x) for w, x in out.items()], columns=["word", "subject", "weight"])
+
+    rows = words.select("word").mapInPandas(run, "word string, subject string, weight double").collect()
+    return {r.word: (r.subject, r.weight) for r in rows}
+
+
 def learn(docs: DataFrame, samples: DataFrame, areas: DataFrame) -> tuple[dict[str, tuple[str, float]], frozenset[str], list[str]]:
     """(lexicon, known words, subjects) learned from the samples and the prepared documents."""
     subjects = sorted({r.subject for r in areas.select("subject").where("subject is not null").collect()})
@@ -320,16 +329,15 @@ def learn(docs: DataFrame, samples: DataFrame, areas: DataFrame) -> tuple[dict[s
             anywhere = counts.where(F.col("subject") == ANYWHERE).select("word", F.col("n").alias("any_docs"))
             everywhere = counts.where("subject = ''").select("word", F.col("n").alias("docs")).join(anywhere, "word", "left")
             everywhere = materialize(everywhere, "everywhere")
-            common = everywhere.where("docs > 2 and length(word) > 4").orderBy(F.desc("docs"), "word").limit(LIKE_WORDS)
-            words = [r.word for r in common.select("word").collect()]
+            common = everywhere.where("docs > 2 and length(word) > 4").select("word")
+            common = materialize(common.repartition(1 + common.count() // LIKE_WORDS), "common")
         before, lexicon = lexicon, pure_words(counts, everywhere) | names
         # The likes of a word outvote its own label for the next round only: a wrong sample may have set that.
-        voters = lexicon | cognates(lexicon, words)
+        voters = lexicon | likes(common, lexicon)
         changed = sum(before.get(w, ("",))[0] != s for w, (s, _) in lexicon.items()) + len(before.keys() - lexicon.keys())
         if k > 1 and changed * STABLE <= len(lexicon):
             break
-    top = anywhere.where("any_docs > 2").orderBy(F.desc("any_docs"), "word").limit(KNOWN_WORDS)
-    known = frozenset(r.word for r in top.select("word").collect())
+    known = frozenset(r.word for r in anywhere.where("any_docs > 2").select("word").collect())
     return lexicon, known, subjects
 
 

@@ -59,3 +59,19 @@ def test_latent_model_learns_accuracies():
     prior, got = S.accuracies([(p, float(n)) for p, n in seen.items()])
     assert abs(prior - 0.2) < 0.02
     assert all(abs(x - y) < 0.05 for a, b in zip(got, rate) for x, y in zip(a, b))
+
+
+def test_no_word_is_left_out_for_being_rare(spark):
+    letters = lambda i: "zq" + "".join(chr(97 + int(c)) for c in f"{i:06d}")
+    many = [letters(i) for i in range(55_000)]
+    counts = spark.createDataFrame([("*", "law", 500), ("*", "physics", 500), *((w, "law", 10) for w in many)], "word string, subject string, n long")
+    everywhere = spark.createDataFrame([(w, 10, 10) for w in many], "word string, docs long, any_docs long")
+    assert len(S.pure_words(counts, everywhere)) == len(many)
+    docs = spark.createDataFrame([("title", "requested candidates publish " + " ".join([*many, "zzbiologie"]))] * 3, "title string, body string")
+    samples = [(k, f"The requested candidates publish {w} and more.", s) for k, (w, s) in enumerate([("biologia", "biology"), ("statute", "law")] * 4)]
+    areas = spark.createDataFrame([("biology",), ("law",)], "subject string")
+    _, known, _ = S.learn(docs, spark.createDataFrame(samples, "sample_id long, text string, subject string"), areas)
+    assert known >= {*many, "zzbiologie"}
+    lexicon = {"biologia": ("biology", 0.9)}
+    words = spark.createDataFrame([(w,) for w in [*many[:25_000], "biologie"]], "word string").repartition(3)
+    assert S.likes(words, lexicon) == S.cognates(lexicon, ["biologie"]) != {}
