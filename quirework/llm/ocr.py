@@ -439,8 +439,12 @@ class Noise:
 
     def repaired(self) -> DataFrame:
         """(tab, row_id, text): every row's text without noise, in whole paragraphs."""
+        none = F.lit(None).cast("string")
+        in_cuts = self.cuts().where("fix is not null").select("tab", "row_id", "word", none.alias("fix"), F.col("fix").alias("cut_fix"))
         fixes = (
-            self.misread()
+            self.misread().select("tab", "row_id", "word", "fix", none.alias("cut_fix")).unionByName(in_cuts)
+            .groupBy("tab", "row_id", "word")
+            .agg(F.coalesce(F.max("fix"), F.max("cut_fix")).alias("fix"))
             .groupBy("tab", "row_id")
             .agg(F.map_from_entries(F.collect_set(F.struct("word", "fix"))).alias("fixes"))
         )

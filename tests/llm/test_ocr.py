@@ -87,3 +87,12 @@ def test_cut_words_beyond_the_frequent_ones(spark, monkeypatch):
     monkeypatch.setattr(ocr, "KNOWN_WORDS", 3)
     few, _ = found(spark, rows)
     assert few == whole and len({i for i, n in few if n == "hyphen"}) >= 4 and len({i for i, n in few if n == "misread"}) >= 2
+
+
+def test_cut_and_misread_words_are_corrected(spark):
+    rows = corpus()
+    row = next(r for r in rows if "certificate" in r[5])
+    whole, row[5] = row[5], row[5].replace("certificate", "certi-\nficatc", 1)
+    got, noise = found(spark, rows)
+    assert got == {(row[1], "hyphen"), (row[1], "misread")}
+    assert {r.row_id: r.text for r in noise.repaired().collect()}[row[1]] == whole
