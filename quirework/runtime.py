@@ -74,14 +74,15 @@ def blocks_of(df: DataFrame, key: str, rows: int) -> list[DataFrame]:
 
 def hot_keys(groups: DataFrame, key: str, count: str, total: int, floor: int = 10_000) -> DataFrame:
     """Keys of the groups with at least max(floor, total / HOT_GROUPS) rows: never more than HOT_GROUPS."""
-    return groups.where(F.col(count) >= max(floor, total // HOT_GROUPS)).select(key)
+    return groups.where(F.col(count) >= max(floor, total // HOT_GROUPS)).select(key).distinct()
 
 
 def join_groups(rows: DataFrame, groups: DataFrame, key: str, count: str, total: int, salts: int = 64) -> DataFrame:
-    """Inner join of ``rows`` with one row per ``key`` in ``groups``, safe for hot keys.
+    """Inner join of ``rows`` with the few rows per ``key`` in ``groups``, safe for hot keys.
 
-    The hot keys (at most HOT_GROUPS of them) are broadcast as keys only; their rows are
-    salted and their group row is repeated once per salt. All other keys join unsalted.
+    ``count`` says how many of the ``rows`` have the key. The hot keys (at most HOT_GROUPS of them) are
+    broadcast as keys only; their rows are salted and their group rows are repeated once per salt. All
+    other keys join unsalted.
     """
     hot = hot_keys(groups, key, count, total).withColumn("_hot", F.lit(True))
     left = rows.join(F.broadcast(hot), key, "left").withColumn(
