@@ -50,11 +50,38 @@ def test_against_brute_force(spark):
     assert found(spark, docs, items) == brute(docs, items)
 
 
-def test_item_blocks_give_the_same(spark, monkeypatch):
+def test_rarity_and_size_of_the_map_change_nothing(spark, monkeypatch):
     docs, items = corpus(5)
     whole = found(spark, docs, items)
-    monkeypatch.setattr(leak, "ITEM_BLOCK", 7)
+    monkeypatch.setattr(leak, "RARE", 0)
     assert found(spark, docs, items) == whole
+    monkeypatch.setattr(leak, "MAX_BITS", 1 << 10)
+    monkeypatch.setattr(leak, "BATCH_WORDS", 100)
+    assert found(spark, docs, items) == whole
+
+
+def test_frequent_phrases_lose_nothing(spark):
+    """An item made of what stands in all documents has no rare n-gram and is found in all of them."""
+    frame = "every applicant has to confirm the request in due time"
+    docs = [(d, f"{frame} and w{d} too") for d in range(120)] + [(200, "every applicant has to pay")]
+    assert found(spark, docs, [(1, frame), (2, "quite another text of seven words here")]) == {(1, d) for d in range(120)}
+
+
+def test_edited_copy_is_reported_with_its_score(spark):
+    """No five words of it are unbroken: none by the rule, but the alignment finds it."""
+    words = [f"item{k}" for k in range(40)]
+    edited = " ".join("changed" if k % 5 == 4 else w for k, w in enumerate(words))
+    d = spark.createDataFrame([(1, f"before it {edited} after it"), (2, "nothing of it at all")], DOCS)
+    i = spark.createDataFrame([(7, " ".join(words))], ITEMS)
+    (r,) = leak.by_document(d, i).collect()
+    # 32 equal words less seven gaps between them, of 40
+    assert (r.doc_id, r.items, r.edited, r.best_share) == (1, [], [7], 0.0) and r.best_score == (2 * 32 - 7) / 80
+    assert leak.leaked(d, i).count() == 0
+
+
+def test_item_on_one_line_three_times(spark):
+    item = " ".join(f"word{k}" for k in range(16))
+    assert found(spark, [(1, f"start\n{item}\nmiddle\n{item}\nmore\n{item}\nend")], [(1, item)]) == {(1, 1)}
 
 
 def test_layout_and_tags_aside(spark):
@@ -76,7 +103,7 @@ def test_empty_repeats_and_extra_columns(spark):
     assert found(spark, [], items) == set() and found(spark, [(1, "a b c d e f")], []) == set()
     d = spark.createDataFrame([(1, "a b c d e f", 9), (1, "a b c d e f", 9)], DOCS + ", item_id long")
     got = leak.by_document(d, spark.createDataFrame(items, ITEMS)).collect()
-    assert [(r.doc_id, r.items) for r in got] == [(1, [1])]
+    assert [(r.doc_id, r.items, r.edited) for r in got] == [(1, [1], [])]
 
 
 def test_smith_waterman_against_plain():
