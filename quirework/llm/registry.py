@@ -59,6 +59,10 @@ def p4_copies(spark: SparkSession, d: str) -> DataFrame:
     return dedup.collapsed(read_table(spark, d, "chunks").select("row_id", "text"))
 
 
+def p4_records(spark: SparkSession, d: str) -> DataFrame:
+    return dedup.collapsed_records(read_table(spark, d, "chunks"), "row_id", ["text", "metadata"])
+
+
 def _split_rows(spark: SparkSession, d: str) -> DataFrame:
     chunks = read_table(spark, d, "chunks").select(
         F.lit("chunks").alias("tab"), "row_id", "text", F.col("metadata.heading_path").alias("heading_path")
@@ -133,6 +137,7 @@ def queries() -> dict[str, Query]:
         "p2_clean": p2_clean,
         "p4_found": p4_found,
         "p4_copies": p4_copies,
+        "p4_records": p4_records,
         "p5_found": p5_found,
         "p5_pieces": p5_pieces,
         "p6_found": p6_found,
@@ -148,21 +153,35 @@ def queries() -> dict[str, Query]:
 
 _LETTERS = "regexp_replace(replace(lower(text), 'ß', 'ss'), '[^\\p{L}\\p{N}]+', '', 'g')"
 
+# A closure, by nothing the operator uses: rows are linked by equal letters or equal fields; the smallest row reached.
 P4_GROUPS = f"""
-with parts as (
+with recursive parts as (
   select row_id, {_LETTERS} as letters,
          list_filter(regexp_split_to_array(text, '[|;\\r\\n]+'), lambda x: regexp_matches(x, '[\\p{{L}}\\p{{N}}]')) as p, text
   from chunks
-), keyed as (
-  select row_id, letters,
+), forms as (
+  select row_id, coalesce(letters, '') as letters,
          case when len(p) >= 2 and len(list_filter(p, lambda x: not regexp_matches(x, '^[^:]{{0,39}}[\\p{{L}}\\p{{N}}][^:]*:.*[\\p{{L}}\\p{{N}}]'))) = 0
                    and len(list_filter(p, lambda x: strpos(x, ':') > 41)) = 0
          then array_to_string(list_sort(list_transform(p, lambda x:
               {_LETTERS.replace('text', "split_part(x, ':', 1)")} || '=' || {_LETTERS.replace('text', "regexp_replace(x, '^[^:]*:', '')")})), '&') end as sheet
   from parts
-), rooted as (
-  select row_id, coalesce(min(sheet) over (partition by letters), letters) as root from keyed
-)"""
+), links as (
+  select row_id as a, min(row_id) over (partition by letters) as b from forms
+  union select row_id, min(row_id) over (partition by sheet) from forms where sheet is not null
+), both_ways as (select a, b from links union select b, a from links),
+reached as (
+  select row_id as a, row_id as b from forms
+  union select r.a, l.b from reached r join both_ways l on r.b = l.a
+), rooted as (select a as row_id, min(b) as root from reached group by a)"""
+
+_L = lambda x: f"coalesce({_LETTERS.replace('text', x)}, '')"
+P4_RECORDS = f"""
+with r as (
+  select row_id, [{_L('text')}, {', '.join(_L('metadata.' + f) for f in ('year', 'name', 'brief_description', 'section', 'article', 'subarticle', 'language_hint'))}] as plain,
+         list_transform(coalesce(metadata.heading_path, []), lambda h: {_L('h')}) as path
+  from chunks
+) select min(row_id) as row_id, count(*) as copies from r group by plain, path"""
 
 P8_BASE = f"""
 with d as (select source, {token_sql('text')}::BIGINT as tokens from documents),
@@ -173,9 +192,9 @@ a as (select coalesce(sum(tokens), 0) as all_tokens from d)"""
 def oracle_sql() -> dict[str, str]:
     return {
         "p4_found": P4_GROUPS
-        + """, g as (select root, row_id, min(row_id) over (partition by root) as rep from rooted)
-select rep as row_id, row_id as copy_row_id from g where row_id <> rep""",
-        "p4_copies": P4_GROUPS + " select min(row_id) as row_id, count(*) as copies from rooted group by root",
+        + " select root as row_id, row_id as copy_row_id from rooted where row_id <> root",
+        "p4_copies": P4_GROUPS + " select root as row_id, count(*) as copies from rooted group by root",
+        "p4_records": P4_RECORDS,
         "p5_found": f"""
 select 'chunks' as tab, row_id from chunks where {token_sql('text')} > 480
 union all select 'segments' as tab, row_id from segments where {token_sql('text')} > 480""",

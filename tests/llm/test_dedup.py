@@ -59,6 +59,12 @@ ROWS = [
     (13, "A: 1;\nA: 1"),
     (14, "x" * 200_000),
     (15, "X" * 200_000 + "!"),
+    (21, "a: bc; d: e; f: g"),
+    (22, "ab: c; d: e; f: g"),
+    (23, "f: g; ab: c; d: e"),
+    (24, "fgabcde"),
+    (25, "f g: abc; d: e"),
+    (26, "d: e; fg: abc"),
 ]
 
 
@@ -69,6 +75,7 @@ def test_against_brute_force(spark):
 def test_cases(spark):
     got = dict((b, a) for a, b in found(spark, ROWS))
     assert got[5] == 2 and got[10] == 2 and 9 not in got and got[7] == 3 and 8 not in got
+    assert {got[k] for k in (22, 23, 24, 25, 26)} == {21}, "letters and fields link by turns"
     assert got[4] == 1 and got[6] == 1 and got[13] == 11 and 12 not in got and got[15] == 14
 
 
@@ -91,3 +98,26 @@ def test_repeated_rows_and_hot_group(spark):
 def test_random(spark, texts):
     rows = [(i, t[0]) for i, t in enumerate(texts)]
     assert found(spark, rows) == brute(rows)
+
+
+def test_components_of_a_long_path(spark):
+    edges = [(i, i + 1) for i in range(0, 60)] + [(100, 101), (7, 7)]
+    got = {r.node: r.root for r in dedup.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {i: 0 for i in range(1, 61)} | {101: 100}
+
+
+def test_nested_records(spark):
+    schema = "row_id long, text string, tags array<string>, more struct<b: struct<x: string, y: string>, m: map<string,int>>"
+    rows = [
+        (1, "One, two", ["a", "b"], (("P", "q"), {"k": 1, "l": 2})),
+        (2, "one two", ["A", "b."], (("p", "Q!"), {"L": 2, "K": 1})),
+        (3, "one two", ["b", "a"], (("p", "q"), {"k": 1, "l": 2})),
+        (4, "one two", ["a", "b"], (("q", "p"), {"k": 1, "l": 2})),
+        (5, None, None, None),
+        (6, "", [], ((None, ""), {})),
+    ]
+    df = spark.createDataFrame(rows, schema)
+    got = {(r.row_id, r.copies) for r in dedup.collapsed_records(df, "row_id", ["text", "tags", "more"]).collect()}
+    assert got == {(1, 2), (3, 1), (4, 1), (5, 2)}
+    assert {r.row_id for r in dedup.collapsed_records(df.select("row_id", "more", "tags", "text"), "row_id", ["more", "text", "tags"]).collect()} == {1, 3, 4, 5}
+    assert dedup.collapsed_records(df.limit(0), "row_id", ["text", "more"]).count() == 0
