@@ -239,26 +239,30 @@ def passages(documents: DataFrame, known: BitMap, margin: int) -> DataFrame:
     return documents.select("doc_id", "text").where("text is not null").mapInPandas(run, "doc_id long, codes binary, hits array<long>")
 
 
-def smith_waterman(a: np.ndarray | list[int], b: np.ndarray | list[int], match: int = 2, mismatch: int = -1, gap: int = -1) -> float:
-    """Best local alignment score of two word sequences; row by row, the gaps within a row by a running maximum."""
-    if not len(a) or not len(b):
-        return 0.0
-    x = np.asarray(a)
-    # whole numbers, so that nothing is rounded
-    ramp = np.arange(len(x) + 1, dtype=np.int32) * np.int32(gap)
-    prev, row = np.zeros(len(x) + 1, np.int32), np.zeros(len(x) + 1, np.int32)
-    gain: dict[int, np.ndarray] = {}
-    best = 0
-    for w in b:
-        if w not in gain:
-            gain[w] = np.where(x == w, np.int32(match), np.int32(mismatch))
-        row[0] = 0
-        np.maximum(prev[:-1] + gain[w], prev[1:] + np.int32(gap), out=row[1:])
+def smith_waterman(a: list[np.ndarray], b: list[np.ndarray], match: int = 2, mismatch: int = -1, gap: int = -1) -> np.ndarray:
+    """Best local alignment scores of pairs of word sequences; a word is a number above 1.
+
+    All pairs go on together, row by row; the gaps within a row come from a running maximum. In whole numbers, so that
+    nothing is rounded.
+    """
+    wide, high = (max(map(len, s), default=0) for s in (a, b))
+    x, y = np.zeros((len(a), wide), np.uint64), np.ones((len(b), high), np.uint64)  # what is filled up equals nothing
+    for k, (p, q) in enumerate(zip(a, b)):
+        x[k, : len(p)], y[k, : len(q)] = p, q
+    ramp = np.arange(wide + 1, dtype=np.int32) * np.int32(gap)
+    prev, row = np.zeros((len(a), wide + 1), np.int32), np.zeros((len(a), wide + 1), np.int32)
+    best = np.zeros((len(a), wide + 1), np.int32)
+    for k in range(high):
+        gain = np.where(x == y[:, k : k + 1], np.int32(match), np.int32(mismatch))
+        np.maximum(prev[:, :-1] + gain, prev[:, 1:] + np.int32(gap), out=row[:, 1:])
         np.maximum(row, 0, out=row)
-        row = np.maximum.accumulate(row - ramp) + ramp
-        best = max(best, int(row.max()))
+        row -= ramp
+        np.maximum.accumulate(row, axis=1, out=row)
+        row += ramp
+        np.maximum(best, row, out=best)
         prev, row = row, prev
-    return float(best)
+        row[:, 0] = 0
+    return best.max(axis=1)
 
 
 def seeds(items: DataFrame, hits: DataFrame) -> DataFrame:
@@ -272,7 +276,9 @@ def seeds(items: DataFrame, hits: DataFrame) -> DataFrame:
     return own.where((F.col("n") <= RARE) | (F.col("n").isNotNull() & (F.col("first") | F.col("second")))).select("gram", "k", "n").distinct()
 
 
-ALIGNED = "item_id long, doc_id long, words int, starts array<int>, aligned double"
+ALIGNED = "item_id long, doc_id long, words int, starts array<int>, aligned int"
+#: Words of the passages that are aligned together.
+TOGETHER = 30_000
 
 
 def _align(pairs: DataFrame) -> DataFrame:
@@ -280,12 +286,16 @@ def _align(pairs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = []
-            for item_id, doc_id, said, item in zip(b["item_id"], b["doc_id"], b["codes"], b["item"]):
-                x, y = np.frombuffer(said, np.uint64), np.frombuffer(item, np.uint64)
-                own = np.isin(grams(y, RUN), grams(x, RUN))
-                rows.append((item_id, doc_id, len(y), np.flatnonzero(own).astype(np.int32), smith_waterman(x, y)))
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in ALIGNED.split(", ")])
+            said = [np.frombuffer(x, np.uint64) for x in b["codes"]]
+            item = [np.frombuffer(x, np.uint64) for x in b["item"]]
+            starts = [np.flatnonzero(np.isin(grams(y, RUN), grams(x, RUN))).astype(np.int32) for x, y in zip(said, item)]
+            scores = np.zeros(len(b), np.int32)
+            order = sorted(range(len(b)), key=lambda i: (len(said[i]), len(item[i])))
+            while order:
+                n = max(1, TOGETHER // len(said[order[-1]]))
+                part, order = order[-n:], order[:-n]
+                scores[part] = smith_waterman([said[i] for i in part], [item[i] for i in part])
+            yield pd.DataFrame({"item_id": b["item_id"], "doc_id": b["doc_id"], "words": [len(y) for y in item], "starts": starts, "aligned": scores})
 
     return pairs.select("item_id", "doc_id", "codes", "item").mapInPandas(run, ALIGNED)
 

@@ -3,6 +3,8 @@
 import random
 import re
 
+import numpy as np
+
 from quirework.llm import leak
 
 DOCS, ITEMS = "doc_id long, text string", "item_id long, text string"
@@ -108,15 +110,16 @@ def test_empty_repeats_and_extra_columns(spark):
 
 def test_smith_waterman_against_plain():
     r = random.Random(1)
-    for _ in range(30):
-        a, b = ([r.randrange(4) for _ in range(r.randrange(0, 12))] for _ in range(2))
-        best = 0
+    pairs = [[[r.randrange(2, 6) for _ in range(r.randrange(0, 12))] for _ in range(2)] for _ in range(40)]
+    want = []
+    for a, b in pairs:
         h = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
         for i, x in enumerate(a, 1):
             for j, y in enumerate(b, 1):
                 h[i][j] = max(0, h[i - 1][j - 1] + (2 if x == y else -1), h[i - 1][j] - 1, h[i][j - 1] - 1)
-                best = max(best, h[i][j])
-        assert leak.smith_waterman(a, b) == best
+        want.append(max(map(max, h)))
+    got = leak.smith_waterman(*([np.array(p[k], np.uint64) for p in pairs] for k in (0, 1)))
+    assert got.tolist() == want
 
 
 def test_passage_that_returns_line_by_line(spark):
