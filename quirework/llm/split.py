@@ -1,7 +1,7 @@
 """Cutting oversized texts at natural boundaries, with content-defined landmarks.
 
-Method: a rolling hash over the last LANDMARK_WORDS words marks landmarks; the piece ends at the
-landmark whose nearest natural boundary is best, between a minimum and a maximum size. As landmarks
+Method: a rolling hash over the last LANDMARK_WORDS words marks landmarks. Between a minimum and a maximum size, the
+landmark of the least hash that has a natural boundary nearby decides, and the piece ends at that boundary. As landmarks
 depend on nearby words only, an edit moves the cuts around it and leaves distant pieces as they were.
 Consecutive pieces overlap by a fixed number of tokens.
 """
@@ -25,6 +25,8 @@ LANDMARK_WORDS = 5
 LANDMARK_EVERY = 16
 #: A boundary may lie this many words from its landmark.
 SNAP = 24
+#: Rank of the boundaries between sentences; landmarks snap to these and better ones.
+SENTENCE = 2
 
 #: Boundaries by rank: the end of the pattern's match is where the next piece starts.
 BOUNDARIES = (
@@ -75,15 +77,18 @@ def cut(text: str | None, limits: Limits = Limits()) -> list[tuple[int, int]]:
             if i < n and rank[i] < r:
                 rank[i] = r
     hashes = [zlib.crc32(text[s:e].casefold().encode()) for s, e in zip(starts, ends)]
-    landmarks = []
+    landmarks: list[int] = []
+    strength: list[int] = []
     acc, base, mask = 0, 0x01000193, 0xFFFFFFFF
     out = pow(base, LANDMARK_WORDS, 1 << 32)
     for i, h in enumerate(hashes):
         acc = (acc * base + h) & mask
         if i >= LANDMARK_WORDS:
             acc = (acc - hashes[i - LANDMARK_WORDS] * out) & mask
-        if i >= LANDMARK_WORDS - 1 and ((acc * 0x9E3779B1) & mask) >> 16 < 65536 // LANDMARK_EVERY:
+        mixed = (acc * 0x9E3779B1) & mask
+        if i >= LANDMARK_WORDS - 1 and mixed >> 16 < 65536 // LANDMARK_EVERY:
             landmarks.append(i + 1)
+            strength.append(mixed)
     pieces, at, first = [], 0, True
     while True:
         room = most if first else most - back
@@ -91,7 +96,7 @@ def cut(text: str | None, limits: Limits = Limits()) -> list[tuple[int, int]]:
             end = n
         else:
             low = at + max(back + 1 if first else 1, int(room * limits.min_share))
-            end = _best_cut(rank, landmarks, low, at + room)
+            end = _best_cut(rank, landmarks, strength, low, at + room)
         lead = at if first else at - back
         pieces.append((starts[lead] if lead else 0, starts[end] if end < n else len(text)))
         if end >= n:
@@ -99,22 +104,30 @@ def cut(text: str | None, limits: Limits = Limits()) -> list[tuple[int, int]]:
         at, first = end, False
 
 
-def _best_cut(rank: list[int], landmarks: list[int], low: int, high: int) -> int:
-    """The boundary of the highest rank nearest to a landmark in [low, high]; ties go to the later one."""
-    best = None
-    for i in range(low, high + 1):
-        r = rank[i]
-        if not r:
-            continue
-        k = bisect_left(landmarks, i)
-        near = min((abs(landmarks[j] - i) for j in (k - 1, k) if 0 <= j < len(landmarks)), default=SNAP)
-        score = (r, near < SNAP, -near, i)
-        if best is None or score > best:
-            best = score
-    if best:
-        return best[3]
-    inside = landmarks[bisect_left(landmarks, low) : bisect_right(landmarks, high)]
-    return inside[-1] if inside else high
+def _best_cut(rank: list[int], landmarks: list[int], strength: list[int], low: int, high: int) -> int:
+    """Where a piece ends in [low, high]: at the boundary that the strongest landmark snaps to.
+
+    A landmark snaps to a boundary of at least a sentence no more than SNAP words away, to the highest rank and then the
+    nearest one (ties go to the earlier). The strongest landmark is the one of the least hash among those that have such
+    a boundary. Where none has, the boundary nearest to a landmark is taken (of sentences first, then of any rank, ties
+    go to the later); without boundaries the strongest landmark itself; without landmarks the greatest size.
+    """
+    first, last = bisect_left(landmarks, low), bisect_right(landmarks, high)
+    for k in sorted(range(first, last), key=lambda k: (strength[k], k)):
+        at = landmarks[k]
+        near = [i for i in range(max(low, at - SNAP), min(high, at + SNAP) + 1) if rank[i] >= SENTENCE]
+        if near:
+            return min(near, key=lambda i: (-rank[i], abs(i - at), i))
+    for least in (SENTENCE, 1):
+        ends = [i for i in range(low, high + 1) if rank[i] >= least]
+        if ends:
+            return max(ends, key=lambda i: (-_distance(landmarks, i), i))
+    return landmarks[min(range(first, last), key=lambda k: (strength[k], k))] if first < last else high
+
+
+def _distance(landmarks: list[int], i: int) -> int:
+    k = bisect_left(landmarks, i)
+    return min((abs(x - i) for x in landmarks[max(0, k - 1) : k + 1]), default=0)
 
 
 PIECE = "tab string, row_id long, piece_no int, pieces int, heading_path array<string>, text string, token_count int, own_start int, whole int"

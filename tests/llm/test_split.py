@@ -8,7 +8,7 @@ from hypothesis import settings as hsettings
 from hypothesis import strategies as st
 
 from quirework.functions.tokens import py_token_count
-from quirework.llm.split import Limits, cut, oversized, split_texts
+from quirework.llm.split import Limits, _best_cut, cut, oversized, split_texts
 
 SCHEMA = "tab string, row_id long, text string, heading_path array<string>"
 
@@ -59,7 +59,28 @@ def test_an_edit_moves_only_neighbouring_cuts():
     edited = text[:k] + " inserted words here " + text[k:]
     before = [b for _, b in cut(text)]
     after = [b if b < k else b - 21 for _, b in cut(edited)]
-    assert len(set(before) ^ set(after)) <= len(before) // 2
+    assert len(set(before) ^ set(after)) <= 6
+
+
+def test_landmarks_decide_where_to_cut():
+    rank = [0] * 200
+    for i in range(0, 200, 10):
+        rank[i] = 2
+    rank[95], rank[150] = 4, 1
+    assert _best_cut(rank, [72, 91, 133], [5, 9, 2], 50, 140) == 130, "the least hash"
+    assert _best_cut(rank, [72, 91], [9, 5], 50, 140) == 95, "a paragraph before a sentence"
+    assert _best_cut(rank, [72], [1], 71, 79) == 72 and _best_cut(rank, [], [], 71, 79) == 79
+    assert _best_cut(rank, [20], [1], 60, 100) == 60 and _best_cut(rank, [], [], 145, 149) == 149
+
+
+def test_an_edit_in_the_middle_of_many_texts_is_local():
+    for seed in range(12):
+        text = sentences(300, seed)
+        k = text.index(" ", len(text) // 2)
+        edited = text[:k] + " some other words" + text[k:]
+        before, after = (cut(t) for t in (text, edited))
+        same = len({text[a:b] for a, b in before} & {edited[a:b] for a, b in after})
+        assert same >= len(before) - 4, seed
 
 
 def test_long_text_without_boundaries():
