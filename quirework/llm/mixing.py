@@ -1,24 +1,28 @@
 """Mixing sources to target shares of a token budget, with a cap on repetition.
 
-Method: temperature mixing. Source token shares are raised to an exponent, which is bisected until
-the weights meet a target entropy (or, for explicit targets, the given shares stand in for them);
-what a capped source cannot give goes to the others in proportion. The weights are realised
-by block permutations: whole passes over a source, then one partial pass in pseudo-random order
-that stops at the budget.
+Method: temperature mixing under the limit of repetition. Every source takes its target share as far as its passes
+reach. What the others lack is spread by tempered weights, ``room ** (1 - a) * target ** a``: at a = 1 in proportion to
+the targets, at a = 0 to what the sources still have. The exponent is bisected to the greatest at which no source
+passes its limit. The weights are realised by block permutations: whole passes over a source, then one partial pass in
+pseudo-random order that stops at the budget. Without targets, :func:`tempered` gives weights of a target entropy.
+
+All of it runs on tables of one row a source; single numbers come to the driver.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quirework.functions.tokens import token_count
-from quirework.runtime import materialize
+from quirework.runtime import join_groups, materialize
 
 #: Pieces the documents of a source are laid into for its partial pass, so no source is one task.
 BUCKETS = 4096
+#: Exponents tried in one job, and jobs; each narrows the bracket to one of so many parts.
+TRIED, ROUNDS = 32, 5
 
 
 def sized(documents: DataFrame) -> DataFrame:
@@ -57,26 +61,31 @@ def tempered(tokens: dict[str, int], entropy: float, steps: int = 60) -> tuple[d
     return dict.fromkeys(tokens, 0.0) | at(a), a
 
 
-def allot(targets: dict[str, float], tokens: dict[str, int], repeats: dict[str, int], budget: float) -> dict[str, float]:
-    """Tokens to take of each source: its share of the budget, at most ``repeats`` times its own.
+def _spread(room: Column, target: Column, a: Column | float) -> Column:
+    """Tempered weight of a source, before it is normalised; 0 without room or target."""
+    a = F.lit(float(a)) if isinstance(a, (int, float)) else a
+    return F.when((room > 0) & (target > 0), F.pow(room, 1 - a) * F.pow(target, a)).otherwise(F.lit(0.0))
 
-    What a source cannot give is spread over the sources with room, in proportion to their targets,
-    until none is left or all are full.
-    """
-    cap = {s: repeats[s] * tokens.get(s, 0) for s in targets}
-    take = {s: 0.0 for s in targets}
-    left, open_ = float(budget), {s for s in targets if targets[s] > 0 and cap[s] > 0}
-    while left > 1e-6 * max(budget, 1) and open_:
-        z = sum(targets[s] for s in open_)
-        step = min(left, min((cap[s] - take[s]) * z / targets[s] for s in open_))
-        for s in open_:
-            take[s] += step * targets[s] / z
-        left -= step
-        full = {s for s in open_ if cap[s] - take[s] <= 1e-9 * cap[s]}
-        if not full:
+
+def exponent(sources: DataFrame, lack: float) -> float:
+    """The greatest exponent in [0, 1] at which ``lack`` tokens, spread over ``sources`` (target_share, room), fit into the room."""
+    room, target = F.col("room"), F.col("target_share")
+    open_ = sources.where("room > 0 and target_share > 0").select("room", "target_share")
+    low, high = 0.0, 1.0
+    for k in range(ROUNDS + 1):
+        tried = [1.0] if k == 0 else [low + (high - low) * i / TRIED for i in range(1, TRIED)]
+        sums = [F.sum(_spread(room, target, a)) for a in tried]
+        most = [F.max(_spread(room, target, a) / room) for a in tried]
+        row = open_.agg(*sums, *most).first()
+        for i, a in enumerate(tried):
+            z, top = row[i], row[len(tried) + i]
+            if not z or lack * top / z <= 1 + 1e-12:
+                low = max(low, a)
+            else:
+                high = min(high, a)
+        if low >= high:
             break
-        open_ -= full
-    return take
+    return low
 
 
 def plan(documents: DataFrame, targets: DataFrame) -> DataFrame:
@@ -84,40 +93,35 @@ def plan(documents: DataFrame, targets: DataFrame) -> DataFrame:
 
     (source, target_share, max_repeats, docs, tokens, budget, wanted, most, short, take, exponent).
     ``short`` is true where max_repeats passes over the whole source fall short of its share.
-    ``exponent`` is that of the temperature mix of the same sources with the targets' entropy.
-    Repeated targets of one source count once; null sources among the targets are ignored. Only
-    the per-source totals of the targets (a table of fixed size) come to the driver.
+    ``exponent`` is that of the weights by which what these lack is spread; where all other sources together have no
+    room for it, all give what they can. Sources with a share of 0 take part in nothing. Repeated targets of one source
+    count once; null sources among the targets are ignored, null shares and repeats are 0.
     """
-    spark = documents.sparkSession
-    totals = source_totals(documents)
+    totals = materialize(source_totals(documents), "totals")
     goal = targets.where("source is not null").groupBy("source").agg(
-        F.max("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"), F.max("budget_ratio").alias("budget_ratio")
+        F.coalesce(F.max("target_share"), F.lit(0.0)).alias("target_share"),
+        F.coalesce(F.max("max_repeats"), F.lit(0)).alias("max_repeats"),
+        F.coalesce(F.max("budget_ratio"), F.lit(0.0)).alias("budget_ratio"),
     )
-    totals = materialize(totals, "totals")
     all_tokens = totals.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
-    rows = (
-        goal.join(totals, "source", "left")
-        .select("source", "target_share", "max_repeats", "budget_ratio", F.coalesce("docs", F.lit(0)).alias("docs"),
-                F.coalesce("tokens", F.lit(0)).alias("tokens"))
-        .collect()
-    )
-    shares = {r.source: float(r.target_share or 0) for r in rows}
-    tokens = {r.source: int(r.tokens) for r in rows}
-    repeats = {r.source: int(r.max_repeats or 0) for r in rows}
-    budget = float(rows[0].budget_ratio or 0) * all_tokens if rows else 0.0
-    take = allot(shares, tokens, repeats, budget)
-    entropy = -sum(x * math.log(x) for x in shares.values() if x > 0)
-    _, exponent = tempered(tokens, entropy)
-    out = [
-        (r.source, shares[r.source], repeats[r.source], int(r.docs), tokens[r.source], budget, shares[r.source] * budget,
-         repeats[r.source] * tokens[r.source], repeats[r.source] * tokens[r.source] < shares[r.source] * float(r.budget_ratio or 0) * all_tokens,
-         take[r.source], exponent)
-        for r in rows
-    ]
-    return spark.createDataFrame(
-        out,
-        "source string, target_share double, max_repeats int, docs long, tokens long, budget double, wanted double,"
-        " most long, short boolean, take double, exponent double",
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    d = goal.join(totals, "source", "left").select("source", "target_share", "max_repeats", "budget_ratio", zero("docs"), zero("tokens"))
+    ratio = d.agg(F.coalesce(F.max("budget_ratio"), F.lit(0.0))).first()[0]
+    most = F.col("max_repeats") * F.col("tokens")
+    d = d.withColumns({
+        "budget": F.lit(ratio * all_tokens), "wanted": F.col("target_share") * F.lit(ratio * all_tokens), "most": most,
+        "short": most < F.col("target_share") * F.col("budget_ratio") * F.lit(all_tokens),
+    })
+    d = d.withColumn("room", F.when(F.col("target_share") > 0, F.greatest(F.lit(0.0), F.col("most") - F.col("wanted"))).otherwise(F.lit(0.0)))
+    d = materialize(d, "sources")
+    lack, room = d.agg(F.coalesce(F.sum(F.greatest(F.lit(0.0), F.col("wanted") - F.col("most"))), F.lit(0.0)), F.coalesce(F.sum("room"), F.lit(0.0))).first()
+    a = exponent(d, lack) if 0 < lack < room else (1.0 if lack <= 0 else 0.0)
+    weight = _spread(F.col("room"), F.col("target_share"), a)
+    z = d.agg(F.sum(weight)).first()[0] or 1.0
+    more = F.least(F.col("room"), weight / F.lit(z) * lack) if lack < room else F.col("room")
+    take = F.when(F.col("target_share") > 0, F.least(F.col("most").cast("double"), F.col("wanted")) + more).otherwise(F.lit(0.0))
+    return d.select(
+        "source", "target_share", "max_repeats", "docs", "tokens", "budget", "wanted", "most", "short", take.alias("take"), F.lit(a).alias("exponent")
     )
 
 
@@ -131,10 +135,10 @@ def mix(documents: DataFrame, planned: DataFrame, seed: int = 0) -> DataFrame:
     max_repeats times. The running sum is taken over bucket totals first and within buckets after,
     so a source that holds a third of the rows is no single task.
     """
-    p = planned.select("source", "max_repeats", F.col("tokens").alias("source_tokens"), "take")
+    p = planned.select("source", "max_repeats", F.col("tokens").alias("source_tokens"), "take", "docs")
+    all_docs = planned.agg(F.coalesce(F.sum("docs"), F.lit(0))).first()[0]
     d = (
-        sized(documents)
-        .join(F.broadcast(p), "source")
+        join_groups(sized(documents), p, "source", "docs", all_docs)
         .withColumn("h", F.xxhash64("doc_id", F.lit(seed)))
         .withColumn("bucket", F.pmod(F.col("h"), F.lit(BUCKETS)))
         .withColumn("passes", F.when(F.col("source_tokens") > 0, F.floor(F.col("take") / F.col("source_tokens"))).otherwise(F.lit(0)))

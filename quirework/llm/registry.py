@@ -113,6 +113,11 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return mixing.short_sources(read_table(spark, d, "documents"), read_table(spark, d, "mix_targets"))
 
 
+def p8_mix(spark: SparkSession, d: str) -> DataFrame:
+    documents = read_table(spark, d, "documents")
+    return mixing.mix(documents, mixing.plan(documents, read_table(spark, d, "mix_targets")))
+
+
 def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.shares(read_table(spark, d, "documents"), read_table(spark, d, "mix_targets"))
 
@@ -145,6 +150,7 @@ def queries() -> dict[str, Query]:
         "p7_found": p7_found,
         "p7_documents": p7_documents,
         "p8_found": p8_found,
+        "p8_mix": p8_mix,
         "p8_shares": p8_shares,
         "p9_found": p9_found,
         "p9_composition": p9_composition,

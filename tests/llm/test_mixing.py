@@ -49,6 +49,21 @@ def test_tempered_meets_entropy():
     assert mixing.tempered({}, 1.0) == ({}, 1.0)
 
 
-def test_allot_spreads_what_a_capped_source_lacks():
-    take = mixing.allot({"x": 0.5, "y": 0.25, "z": 0.25}, {"x": 10, "y": 1000, "z": 1000}, {"x": 1, "y": 1, "z": 1}, 100)
-    assert take["x"] == 10 and abs(take["y"] - 45) < 1e-6 and abs(take["z"] - 45) < 1e-6
+def test_what_a_source_lacks_is_spread_by_tempered_weights(spark):
+    """Each source keeps its share; the exponent is the greatest at which the others' passes reach."""
+    text = "one two three four five"  # 6 tokens
+    rows = [(i, text, "x") for i in range(10)] + [(100 + i, text, "y") for i in range(60)] + [(200 + i, text, "z") for i in range(400)]
+    d = spark.createDataFrame(rows, DOCS)
+    t = spark.createDataFrame([("x", 0.4, 1, 0.2), ("y", 0.3, 1, 0.2), ("z", 0.3, 1, 0.2)], TARGETS)
+    p = {r.source: r for r in mixing.plan(d, t).collect()}
+    budget = 0.2 * 6 * 470
+    assert p["x"].short and p["x"].take == 60 and abs(sum(r.take for r in p.values()) - budget) < 1e-6
+    assert p["x"].exponent == 1 and abs(p["y"].take - budget * 0.3 - (budget * 0.4 - 60) / 2) < 1e-6
+    t = spark.createDataFrame([("x", 0.4, 1, 0.32), ("y", 0.3, 1, 0.32), ("z", 0.3, 1, 0.32)], TARGETS)
+    p = {r.source: r for r in mixing.plan(d, t).collect()}
+    assert 0 < p["y"].exponent < 1 and abs(p["y"].take - p["y"].most) < 0.01 and p["z"].take > p["z"].wanted
+    assert abs(sum(r.take for r in p.values()) - 0.32 * 6 * 470) < 1e-6
+    made = mixing.mix(d, mixing.plan(d, t)).groupBy("source").sum("tokens").collect()
+    assert all(abs(r[1] - p[r.source].take) <= 6 for r in made)
+    t = spark.createDataFrame([("x", 0.5, 1, 3.0), ("y", 0.5, 1, 3.0)], TARGETS)
+    assert {r.source: r.take for r in mixing.plan(d, t).collect()} == {"x": 60, "y": 360}
