@@ -96,3 +96,56 @@ def test_cut_and_misread_words_are_corrected(spark):
     got, noise = found(spark, rows)
     assert got == {(row[1], "hyphen"), (row[1], "misread")}
     assert {r.row_id: r.text for r in noise.repaired().collect()}[row[1]] == whole
+
+
+def test_true_words_beside_a_lookalike_stay(spark):
+    """'1st' is one glyph from a frequent word of another language, whose neighbours are others."""
+    rows = [("blocks", i, f"d{i}", 0, False, f"Der Antrag ist bis zum {i}. Mai einzureichen und ist im Portal zu finden. Das Amt ist offen.") for i in range(30)]
+    rows += [("blocks", 100 + i, f"e{i}", 0, False, "The offices open on the 1st day of the month for every student.") for i in range(4)]
+    got, noise = found(spark, rows)
+    assert got == set()
+    assert {r.text for r in noise.repaired().collect() if r.row_id >= 100} == {rows[-1][5]}
+
+
+def test_each_occurrence_in_its_own_context(spark):
+    """One misreading of two words gets two corrections, and where it is the word itself, none."""
+    rows = [("blocks", i, f"d{i}", 0, False, f"The cat sleeps near the warm stove while the dog barks at house {i}.") for i in range(60)]
+    rows += [("blocks", 100 + i, f"e{i}", 0, False, f"Il testo era eat lungo prima di ogni correzione numero {i}.".replace("eat", "oat")) for i in range(60)]
+    rows += [("blocks", 300, "f", 0, False, "The c@t sleeps near the warm stove while the dog barks at house 7."), ("blocks", 301, "f", 1, False, "Il testo era 0at lungo prima di ogni correzione.")]
+    rows += [("blocks", 400, "g", 0, False, "The cat s1eeps near the warm stove; the dog barks at s1eeps house, the cat s|eeps near it.")]
+    got, noise = found(spark, rows)
+    assert {i for i, n in got if n == "misread"} == {300, 301, 400}
+    text = {r.row_id: r.text for r in noise.repaired().collect()}
+    assert "The cat sleeps" in text[300] and "era oat lungo" in text[301] and text[400].startswith("The cat sleeps near") and text[400].endswith("the cat sleeps near it.")
+
+
+def test_words_beyond_the_vocabulary_are_judged_by_their_pairs(spark, monkeypatch):
+    rows = corpus()
+    row = next(r for r in rows if "certificate" in r[5])
+    row[5] = row[5].replace("certificate", "certif1cate", 1)
+    whole, _ = found(spark, rows)
+    monkeypatch.setattr(ocr, "VOCABULARY", 1)
+    few, _ = found(spark, rows)
+    assert few == whole == {(row[1], "misread")}
+
+
+def test_vectors_do_not_depend_on_the_number_of_tasks(spark, monkeypatch):
+    stats = ocr.statistics(spark.createDataFrame([tuple(r) for r in corpus()], SCHEMA))
+    one = ocr.skip_grams(stats)
+    monkeypatch.setattr(ocr, "PAIRS_A_TASK", 20)
+    many = ocr.skip_grams(stats)
+    likely = [["submit", "the", "permit", "together"], ["the", "publishes"]]
+    for v in (one, many):
+        good = v.scores(["residence", "committee"], likely)
+        bad = v.scores(["committee", "residence"], likely)
+        assert good.min() > 0 and (good > bad).all()
+        assert str(v.scores(["none", "committee"], [["the"], ["nowhere"]])) == "[nan nan]"
+
+
+def test_corrections_count_words_as_the_scan_does():
+    text = "İstanbul_one c@t, be-\nfore d0g\nSTRASSE Stra​ße c@t"
+    words = ocr.said_words(text)
+    assert words[-1] == "c@t" and "before" not in words
+    at = [i for i, w in enumerate(words) if w == "c@t"]
+    fixed = ocr.repair(text, {at[1]: "cat", words.index("d0g"): "dog"}, set(), {})
+    assert fixed.count("c@t") == 1 and fixed.endswith("cat") and "dog" in fixed
