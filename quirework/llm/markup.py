@@ -2,8 +2,8 @@
 
 Method: tag-path ratios. A text is parsed into leaves, each under its root-to-leaf path of tags (the
 constructs of the other three languages count as tags too). Over the whole collection the text
-length and punctuation of each path are aggregated against its number of leaves, smoothed with the
-parent path's, fused into one score and thresholded: leaves of paths above it are content, the
+length and punctuation of each path are aggregated against its number of leaves (paths that differ in tags within
+lines only are fused), smoothed with the parent path's, joined in one score and thresholded: leaves of paths above it are content, the
 others (comments, maintenance templates, rules) are left out of the clean text.
 
 The parser is one pass of one alternation over the text. Rows without any character that markup
@@ -16,6 +16,7 @@ import html
 import itertools
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from html.entities import html5
 
 import pandas as pd
@@ -29,10 +30,15 @@ TAGS = (
     "a abbr address article aside b big blockquote body br button caption center cite code col colgroup dd del div dl dt"
     " em figcaption figure font footer form h1 h2 h3 h4 h5 h6 head header hr html i iframe img input ins kbd label li link"
     " main mark meta nav ol option p pre q ref s samp script section select small span strike strong style sub sup table"
-    " tbody td textarea tfoot th thead title tr tt u ul var video"
+    " tbody td textarea tfoot th thead title tr tt u ul var video audio canvas details dialog embed fieldset figcaption legend"
+    " math noscript object picture span summary svg"
 )
+#: Elements whose names are words as well count with attributes only.
+DRAWN = "path g rect circle line polygon use"
 #: Elements that break the line around their text.
 BLOCK_TAGS = frozenset("address article aside blockquote body br caption center dd div dl dt figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table tbody tfoot thead title tr ul".split())
+#: Elements within a line: their paths are fused with that of the element around them.
+INLINE_TAGS = frozenset("a abbr b big cite del em font i img ins kbd label mark q ref s samp small span strike strong sub sup tt u var md:link wiki:link".split())
 VOID_TAGS = frozenset("br hr img input link meta col".split())
 #: Elements that a next one of their kind closes.
 SIBLINGS = frozenset("li p td th tr dt dd option".split())
@@ -51,7 +57,7 @@ _M = re.MULTILINE
 PARTS = (
     # html
     ("comment", r"<!--.*?(?:-->|\Z)|<!doctype[^>]*>"),
-    ("tag", r"</?(?:" + "|".join(sorted(TAGS.split(), key=len, reverse=True)) + r")(?:\s[^<>]*)?/?>"),
+    ("tag", r"</?(?:" + "|".join(sorted(TAGS.split(), key=len, reverse=True)) + r")(?:\s[^<>]*)?/?>|<(?:" + "|".join(DRAWN.split()) + r")\s[^<>]*=[^<>]*>|</(?:" + "|".join(DRAWN.split()) + r")>"),
     ("entity", r"&(?:#\d{1,7}|#x[0-9a-f]{1,6}|[a-z][a-z0-9]{1,30});"),
     # latex
     ("display", r"\\\[.*?\\\]|\\\(.*?\\\)"),
@@ -64,30 +70,38 @@ PARTS = (
     ("wtable", r"^[ \t]*\{\|.*$|^[ \t]*\|\}|^[ \t]*\|-+[ \t]*$|\|\||!!|^[ \t]*!(?=[ \t])"),
     ("whead", r"^[ \t]*={2,6}[^=\n]+={2,6}[ \t]*$"),
     ("wquote", r"'{3,5}|''(?=[^'\n]+'')|(?<=[^'\s])''(?!')"),
-    ("wfile", r"\[\[(?:[^\[\]|\n]{0,80}\|)?|\]\]"),
+    ("wfile", r"\[\[(?:[^\[\]|\n]*\|)*|\]\]"),
     ("wlink", r"\[https?://[^\s\]]+[ \t]"),
     # markdown
     ("fence", r"^[ \t]*```.*$|```"),
+    ("setext", r"^[ \t]*(?:={3,}|-{3,})[ \t]*$"),
+    ("mdef", r"^[ \t]{0,3}\[[^\[\]\n]+\]:[ \t]+<?(?:https?://|[/#.])\S*.*$"),
+    ("mref", r"\[(?=[^\[\]\n]+\]\[[^\[\]\n]*\])|\]\[[^\[\]\n]*\]"),
     ("mhead", r"^[ \t]{0,3}#{1,6}[ \t]+(?!\d+[\])}])(?=\S)"),
     ("task", r"^[ \t]*[-*+][ \t]+(?:\*\*)?\[(?:\*\*)?[ x](?:\*\*)?\](?:\*\*)?(?=[ \t])"),
     ("quote", r"^[ \t]{0,3}>(?=[ \t*_])"),
     ("rule", r"^[ \t]*\|?[ \t]*:?-{2,}:?[ \t]*(?:\|[ \t]*:?-{2,}:?[ \t]*)+\|?[ \t]*$"),
-    ("mrow", r"^[ \t]*\|(?=[^|\n]+\|)(?!.*\|\|)|(?<=[^|])\|[ \t]*$"),
+    ("mrow", r"^[ \t]*\|[ \t]*(?=[^|\n]+\|)(?!.*\|\|)|(?<=[^|])\|[ \t]*$"),
     ("image", r"!\[[^\]\n]*\]\([^)\s]*\)"),
+    ("mlopen", r"\[(?=[^\[\]\n]*\]\((?:https?://|mailto:|[/#.])[^)\s]*\))"),
     ("mlink", r"\]\((?:https?://|mailto:|[/#.])[^)\s]*\)"),
     ("strong", r"\*\*|(?<![_\w])__(?=[^\s_])|(?<=[^\s_])__(?![_\w])|(?<=\w)__(?=\s|$)"),
-    ("em", r"(?<![\w*])\*(?=[^\s*][^*\n]*[^\s*]\*(?![\w*]))|(?<=[^\s*])\*(?![\w*])(?<=\w\*)"),
-    ("code", r"`(?=[^`\n]+`)"),
+    ("strike", r"~~(?=[^\s~][^~\n]*~~)|(?<=[^\s~])~~"),
+    ("em", r"(?<![\w*])\*(?=[^\s*](?:[^*\n]*[^\s*])?\*(?![\w*]))|(?<=[^\s*])\*(?![\w*])(?<=\w\*)"),
+    ("code", r"`[^`\n]+`"),
 )
 LANGUAGE = dict.fromkeys(("comment", "tag", "entity"), "html") | dict.fromkeys(("display", "dollar", "env", "command", "escape"), "latex")
 LANGUAGE |= dict.fromkeys(("template", "wtable", "whead", "wquote", "wfile", "wlink"), "wiki")
-LANGUAGE |= dict.fromkeys(("fence", "mhead", "task", "quote", "rule", "mrow", "image", "mlink", "strong", "em", "code"), "markdown")
+LANGUAGE |= dict.fromkeys(("fence", "setext", "mdef", "mref", "mhead", "task", "quote", "rule", "mrow", "image", "mlopen", "mlink", "strike", "strong", "em", "code"), "markdown")
 #: Where a mark can start at all; tested first, as most characters fail it.
-_START = r"(?:(?=[<&\\$`*{}\[\]=|!'_#>:+-])|(?<![^\n])(?=[ \t]))"
+_START = r"(?:(?=[<&\\$`*{}\[\]=|!'_#>:~+-])|(?<![^\n])(?=[ \t]))"
 MARK = re.compile(_START + "(?:" + "|".join(f"(?P<{k}>{p})" for k, p in PARTS) + ")", re.I | _M)
 
+_DEFINITION = re.compile(r"(?m)^[ \t]{0,3}\[[^\[\]\n]+\]:[ \t]+<?(?:https?://|[/#.])")
+_FENCE = re.compile(r"(?m)^[ \t]*```[ \t]*$")
+
 #: A row can hold markup only if this matches (a superset of every pattern above).
-TRIGGER = r"[<&\\$`*{}\[=]|__|''|!!|\|\||(?m:^[ \t]{0,3}[#>|])|\|[ \t]*(?m:$)"
+TRIGGER = r"[<&\\$`*{}\[=]|__|~~|''|!!|\|\||(?m:^[ \t]{0,3}[#>|])|\|[ \t]*(?m:$)"
 
 
 def may_hold_markup(text: Column) -> Column:
@@ -97,6 +111,8 @@ def may_hold_markup(text: Column) -> Column:
 def parse(text: str | None) -> tuple[list[tuple[str, str, int]], set[str]]:
     """Leaves (path, text, block) of a text and the set of markup languages found in it.
 
+    The path is that of all tags from the root to the leaf.
+
     ``block`` is 1 where the leaf starts a new line. A text without markup is one leaf of path ''.
     Unclosed or crossed marks close at the end of the text or with the element around them.
     """
@@ -105,7 +121,9 @@ def parse(text: str | None) -> tuple[list[tuple[str, str, int]], set[str]]:
     out: list[tuple[str, str, int]] = []
     found: set[str] = set()
     stack: list[str] = []
+    braces: set[int] = set()
     at, brk = 0, 1
+    defined = bool(_DEFINITION.search(text)) if "]:" in text else False
 
     def leaf(s: str, path: str | None = None) -> None:
         nonlocal brk
@@ -123,6 +141,8 @@ def parse(text: str | None) -> tuple[list[tuple[str, str, int]], set[str]]:
     def flush(upto: int) -> None:
         """Text up to here; tags that live to the end of their line close with it."""
         s = text[at:upto]
+        if braces:
+            s = "".join(c for i, c in enumerate(s, at) if i not in braces)
         if "wiki:link" in stack and "]" in s:
             head, s = s.split("]", 1)
             leaf(head)
@@ -152,6 +172,12 @@ def parse(text: str | None) -> tuple[list[tuple[str, str, int]], set[str]]:
             continue  # a pipe at a line's end belongs to a row only if the row starts with one
         if m.start() < at:
             continue
+        if kind == "template" and m.start() in braces:
+            continue  # groups of commands
+        if kind == "mref" and not defined:
+            continue  # two pairs of brackets in prose
+        if kind == "setext" and ("-" in s and "markdown" not in found or not text[:m.start()].rpartition("\n")[0].rpartition("\n")[2].strip()):
+            continue  # a line of dashes under prose, or under nothing
         flush(m.start())
         at = m.end()
         found.add(LANGUAGE[kind])
@@ -192,6 +218,10 @@ def parse(text: str | None) -> tuple[list[tuple[str, str, int]], set[str]]:
                 brk = 1
             elif name in ("footnote", "label", "ref", "cite", "vspace", "hspace"):
                 at = _braced(text, at, lambda inner: leaf(f" ({inner})" if name == "footnote" else "", "/".join([*stack, name])))
+            else:
+                if name == "href":
+                    at = _braced(text, at, lambda inner: None)
+                _mark_braces(text, at, braces)
         elif kind == "escape":
             leaf(s[1:] if s[1] in "%&$#_{}" else "")
         elif kind == "template":
@@ -219,7 +249,36 @@ def parse(text: str | None) -> tuple[list[tuple[str, str, int]], set[str]]:
             if "md:code" in stack:
                 close("md:code")
             else:
-                stack.append("md:code")
+                end = _FENCE.search(text, at)
+                if end:  # what stands inside is no markup
+                    leaf(text[at : end.start()].strip("\n"), "/".join([*stack, "md:code"]))
+                    at, brk = end.end(), 1
+                else:
+                    stack.append("md:code")
+        elif kind == "code":
+            leaf(s.strip("`"), "/".join([*stack, "code"]))
+        elif kind == "mlopen":
+            stack.append("md:link")
+        elif kind == "mlink":
+            close("md:link")
+        elif kind == "mref":
+            if s == "[":
+                stack.append("md:link")
+            else:
+                close("md:link")
+        elif kind == "mdef":
+            leaf(s.strip(), "/".join([*stack, "md:definition"]))
+            brk = 1
+        elif kind == "setext":
+            path, said, b = out.pop() if out else ("", "", 1)
+            head, _, title = said.rstrip().rpartition("\n")
+            if head:
+                out.append((path, head + "\n", b))
+            level = 1 if "=" in s else 2
+            out.append(("/".join([*stack, f"h{level}"]), "#" * level + " " + title.strip(), 1))
+            brk = 1
+        elif kind == "quote":
+            brk = 1
         elif kind == "mhead":
             brk = 1
             level = s.count("#")
@@ -247,6 +306,17 @@ def _braced(text: str, at: int, take) -> int:
     return at
 
 
+def _mark_braces(text: str, at: int, braces: set[int]) -> None:
+    """Add where the braces stand of the groups that follow a command, inner ones too; options in brackets are passed over."""
+    while at < len(text) and text[at] in "{[":
+        end = _braced(text, at, lambda inner: None) if text[at] == "{" else text.find("]", at) + 1
+        if end <= at:
+            return
+        if text[at] == "{":
+            braces.update(i for i in range(at, end) if text[i] in "{}")
+        at = end
+
+
 def formula(s: str) -> str:
     """A LaTeX formula as a line of plain text."""
     for _ in range(8):
@@ -270,30 +340,42 @@ def plain(text: str | None) -> str:
 
 
 def render(leaves: list[tuple[str, str, int]], content: frozenset[str] | None) -> str:
-    """Clean text of the leaves whose path is content: one line a block, list items and headings marked."""
+    """Clean text of the leaves whose path is content: one line a block, list items and headings marked.
+
+    Spaces between leaves stay; those at the edges of lines and cells go.
+    """
     out: list[str] = []
     for path, s, brk in leaves:
-        if content is not None and path_key(path) not in content:
+        if content is not None and path not in content:
             continue
         tags = path.split("/")
+        literal = "md:code" in tags or "pre" in tags
         if brk:
-            s = s.lstrip()
+            s = s if literal else s.lstrip()
             if out and not out[-1].endswith("\n"):
                 out.append("\n")
+        if not s:
+            continue
+        if s == " | ":
+            out[-1:] = [x.rstrip(" \t") for x in out[-1:]]
+        elif out and out[-1] == " | " and not literal:
+            s = s.lstrip(" \t")
         if brk and tags[-1] == "li" and s:
             out.append("- ")
         if brk and re.fullmatch(r"h[1-6]", tags[-1]) and not s.startswith("#"):
             out.append("#" * int(tags[-1][1]) + " ")
-        if s.strip(" \t{}[]") or "\n" in s:
-            out.append(s if "md:code" in tags or "pre" in tags or tags[-1] == "formula" else re.sub(r"[{}]|\[(?=[^\]]*$)|(?<!\w)\](?!\w)", "", s) if "env:" in path or "\\" in s else s)
+        if not (literal or tags[-1] == "formula") and ("env:" in path or "\\" in s):
+            s = re.sub(r"[{}]|\[(?=[^\]]*$)|(?<!\w)\](?!\w)", "", s)
+        out.append(s)
     t = "".join(out)
     t = re.sub(r"[ \t]+\n", "\n", t)
     return re.sub(r"\n{3,}", "\n\n", t).strip()
 
 
-def path_key(path: str) -> str:
-    """The last three tags of a path: paths deeper than that share their statistics."""
-    return "/".join(path.split("/")[-3:])
+@lru_cache(100_000)
+def fused(path: str) -> str:
+    """A path without its tags within lines: what stands in a sentence shares the sentence's score."""
+    return "/".join(t for t in path.split("/") if t not in INLINE_TAGS)
 
 
 PARSED = "tab string, row_id long, languages array<string>, paths array<struct<path:string,leaves:long,chars:long,punct:long>>, text string"
@@ -312,7 +394,7 @@ def parsed(rows: DataFrame) -> DataFrame:
                     continue
                 stats: dict[str, list[int]] = {}
                 for path, s, _ in leaves:
-                    st = stats.setdefault(path_key(path), [0, 0, 0])
+                    st = stats.setdefault(fused(path), [0, 0, 0])
                     st[0] += 1
                     st[1] += len(s.strip())
                     st[2] += len(_PUNCT.findall(s))
@@ -354,9 +436,10 @@ def path_scores(parse_result: DataFrame) -> DataFrame:
     )
 
 
-#: Leaves of these tags are structure and stay whatever their score; of the second, they never do.
-ALWAYS = re.compile(r"(^|/)(h[1-6]|td|th|li|formula|md:code|pre|code|wiki:table|env:[^/]*)$|^$")
-NEVER = re.compile(r"(^|/)(comment|script|style|label|template:cn)$")
+#: The structure that has to stay, whatever its score: headings, list items, cells, formulas, code, and what is under no tag.
+ALWAYS = re.compile(r"(^|/)(h[1-6]|td|th|li|formula|md:code|pre|code|wiki:table)$|^$")
+#: What no reader sees.
+NEVER = re.compile(r"(^|/)(comment|script|style|md:definition)$")
 THRESHOLD = 1.0
 #: At most this many paths are sent to the tasks; with more, each row gets its own by join.
 MAX_PATHS = 50_000
@@ -392,7 +475,7 @@ def cleaned(rows: DataFrame) -> DataFrame:
             for text, own in zip(b["text"], b["furniture"] if furniture is None else itertools.repeat(None)):
                 left_out = furniture.value if own is None else set(own)
                 leaves, _ = parse(text)
-                keep = frozenset(k for k in (path_key(x[0]) for x in leaves) if k not in left_out)
+                keep = frozenset(x[0] for x in leaves if fused(x[0]) not in left_out)
                 texts.append(render(leaves, keep))
             yield pd.DataFrame({"tab": b["tab"].tolist(), "row_id": b["row_id"], "text": texts, "languages": b["languages"].tolist()})
 

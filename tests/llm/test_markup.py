@@ -1,5 +1,8 @@
 """p2."""
 
+import random
+import re
+
 import pytest
 
 from quirework.llm import markup
@@ -55,3 +58,48 @@ def test_more_furniture_paths_than_are_sent(spark, monkeypatch):
     monkeypatch.setattr(markup, "MAX_PATHS", 1)
     assert sorted((r.row_id, r.text, tuple(r.languages)) for r in markup.cleaned(df).collect()) == got
     assert len(got) == len(rows) + 2 and not any("style" in t or "a3" in t for _, t, _ in got)
+
+
+CLEAN = [
+    ("x <b>one</b> <i>two</i> y", "x one two y"), ("a **b** **c** d", "a b c d"), ("see [a](https://x.example/z) now", "see a now"),
+    ("`d` x *c* y", "d x c y"), (r"\url{x} \textit{y {z}} w", "x y z w"), ("~~x~~ y", "x y"), ("Title\n=====\nbody", "# Title\nbody"),
+    ("<svg><path d='x'/></svg> text", "text"), ("[[File:x.png|thumb|cap]] t [[a|b]] c", "cap t b c"), (r"\href{u}{t} and \emph{v}", "t and v"),
+    ("| a | b |\n|---|---|\n| 1 | 2 |", "a | b\n1 | 2"), ("```py\n# x\na = b*c*d\n```\nafter", "# x\na = b*c*d\nafter"), ("> quoted\n> more", "quoted\nmore"),
+    ("{| class=x\n! A !! B\n|-\n| 1 || 2\n|}", "A | B\n1 | 2"), ("Title\n-----\nno heading", "Title\n-----\nno heading"), ("see [18][19] there", "see [18][19] there"),
+]
+
+
+@pytest.mark.parametrize("text,want", CLEAN)
+def test_clean_text(text, want):
+    assert markup.render(markup.parse(text)[0], None) == want
+
+
+def test_definitions_of_links_are_furniture(spark):
+    df = spark.createDataFrame([("t", 1, "see [one][1] and [two][2].\n\n[1]: https://x.example/y\n[2]: https://x.example/z")], SCHEMA)
+    assert [r.text for r in markup.cleaned(df).collect()] == ["see one and two."]
+
+
+WRAPS = {
+    "html": [("<b>", "</b>"), ("<i>", "</i>"), ('<a href="u">', "</a>"), ("<span>", "</span>"), ("<p>", "</p>"), ("<li>", "</li>"), ("<h2>", "</h2>")],
+    "markdown": [("**", "**"), ("*", "*"), ("[", "](https://x.example/a)"), ("`", "`"), ("~~", "~~"), ("\n## ", "\n"), ("\n> ", "\n")],
+    "wiki": [("'''", "'''"), ("''", "''"), ("[[", "]]"), ("[[page|", "]]"), ("\n== ", " ==\n"), ("[https://x.example/a ", "]")],
+    "latex": [(r"\textbf{", "}"), (r"\emph{", "}"), (r"\section{", "}"), (r"\href{u}{", "}"), (r"\textit{\emph{", "}}")],
+}
+
+
+@pytest.mark.parametrize("language", WRAPS)
+def test_no_word_is_lost_or_joined(language):
+    """Words wrapped at random, some of them twice: the clean text has the same words, in order, and no mark."""
+    r = random.Random(language)
+    for _ in range(300):
+        words = [f"word{r.randrange(99)}" for _ in range(r.randrange(1, 12))]
+        out, k = [], 0
+        while k < len(words):
+            n = r.randrange(1, 4)
+            a, b = r.choice(WRAPS[language]) if r.random() < 0.6 else ("", "")
+            out.append(a + " ".join(words[k : k + n]) + b)
+            k += n
+        text = " ".join(out)
+        clean = markup.render(markup.parse(text)[0], None)
+        assert re.findall(r"\w+", clean) == words, (text, clean)
+        assert not re.search(r"[<>\\{}\[\]*`~']", clean), (text, clean)
