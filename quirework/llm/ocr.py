@@ -131,11 +131,11 @@ def _without_cuts(text: str) -> str:
 
 def said_words(text: str) -> list[str]:
     """The folded words of a text in order, numbers as one word, words cut at line ends left out."""
-    text = visible(text).replace("_", " ")
+    text = visible(text).replace("_", " ").replace("ß", "ss")
     if "\n" in text:
         text = _without_cuts(text)
     folded = text.casefold()
-    # Folding may take a letter apart, and with it a word; then words are folded one by one.
+    # Folding may take a letter apart, and with it a word (that of sharp s doesn't); then words are folded one by one.
     words = WORD.findall(folded) if len(folded) == len(text) else [w.casefold() for w in WORD.findall(text)]
     return ["0" if w.isdigit() else w for w in words]
 
