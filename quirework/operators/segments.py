@@ -11,7 +11,7 @@ from quirework.functions import meta
 from quirework.functions.clean import clean_text, strip
 from quirework.functions.tokens import py_token_count, token_count
 from quirework.operators.ordered import numbered, scan
-from quirework.runtime import materialize
+from quirework.runtime import materialize, spread
 
 MAX_DEPTH = 9
 TOC_LABEL = "TABLE OF CONTENTS"
@@ -35,7 +35,7 @@ def clean_blocks(blocks: DataFrame) -> DataFrame:
     The empty ones go in a generator: a filter would be pushed below and clean every text twice.
     """
     kept = F.filter(F.array(clean_text("text")), lambda x: x != "")
-    return blocks.withColumn("text", F.explode(kept)).select(*blocks.columns)
+    return spread(blocks).withColumn("text", F.explode(kept)).select(*blocks.columns)
 
 
 def structure_state(blocks: DataFrame, strict: bool = False, long: bool = False) -> DataFrame:

@@ -60,16 +60,10 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def blocks_of(df: DataFrame, key: str, rows: int) -> list[DataFrame]:
-    """Split ``df`` by a hash of ``key`` into blocks of about ``rows`` rows, so that each can be broadcast.
-
-    One block while the table is within the bound. The blocks together are always the whole table.
-    """
-    n = df.count()
-    k = max(1, -(-n // rows))
-    if k == 1:
-        return [df]
-    return [df.where(F.pmod(F.xxhash64(key), F.lit(k)) == i) for i in range(k)]
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in as many partitions as there are cores, where its files make fewer: such a table is small."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def hot_keys(groups: DataFrame, key: str, count: str, total: int, floor: int = 10_000) -> DataFrame:
