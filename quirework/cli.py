@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import argparse
+import json
 import sys
 from dataclasses import fields
 
 from pyspark.sql import SparkSession
 
 from quirework.config import EvalConfig, GateConfig, PipelineConfig
-from quirework.plans.pipeline import run_evaluation, run_gates, run_pipeline
+from quirework.operators import evaluate
+from quirework.plans.pipeline import run_evaluation, run_gates, run_pipeline, source_texts
+from quirework.sources.shared import Files
 from quirework.sources.writers import write_json, write_reports
 
 
@@ -31,9 +34,9 @@ def build_parser() -> argparse.ArgumentParser:
         p.add_argument("--artifacts-dir", required=True)
         p.add_argument("--output-json", default="")
         p.add_argument("--output-md", default="")
-        p.add_argument("--coverage-pct", type=float, default=100.0)
         p.add_argument("--fail-on-threshold", action="store_true")
         _options(p, config)
+    sub.choices["gates"].add_argument("--eval-report", default="", help="report of evaluate, whose coverage counts; measured anew without one")
     return parser
 
 
@@ -47,13 +50,17 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     chunks, documents = (spark.read.parquet(f"{args.artifacts_dir}/{t}") for t in ("chunks", "documents"))
     if args.command == "evaluate":
-        report = run_evaluation(chunks, documents, config=pick(EvalConfig))
+        report = run_evaluation(chunks, documents, source_texts(spark, documents), pick(EvalConfig))
         if args.output_json and args.output_md:
-            write_reports(report, args.output_json, args.output_md)
+            write_reports(spark, report, args.output_json, args.output_md)
     else:
-        report = run_gates(chunks, documents, args.coverage_pct, pick(GateConfig), check=False)
+        if args.eval_report:
+            covered = json.loads(Files(spark).read(args.eval_report))["coverage_pct"]
+        else:
+            covered = evaluate.coverage_pct(source_texts(spark, documents), chunks).first()[0]
+        report = run_gates(chunks, documents, covered, pick(GateConfig), check=False)
         if args.output_json:
-            write_json(args.output_json, report)
+            write_json(spark, args.output_json, report)
     return 2 if args.fail_on_threshold and not report["passed"] else 0
 
 

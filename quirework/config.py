@@ -23,10 +23,11 @@ class PipelineConfig:
     dedupe_chunks: bool = True
     incremental: bool = True
     fail_fast: bool = False
+    json_lines: bool = True
 
     def signature(self) -> str:
         """SHA-1 over every setting that changes what a document becomes."""
-        fields = {k: v for k, v in asdict(self).items() if k not in ("input_dir", "output_dir", "incremental", "fail_fast")}
+        fields = {k: v for k, v in asdict(self).items() if k not in ("input_dir", "output_dir", "incremental", "fail_fast", "json_lines")}
         return hashlib.sha1(json.dumps(fields, sort_keys=True).encode()).hexdigest()
 
 

@@ -17,8 +17,8 @@ from quirework.operators.segments import islands, join_texts, may_merge
 from quirework.runtime import materialize
 from quirework.schemas import PAGE_REFS
 
-#: Positions a segment's pieces may take in the order of their document.
-PIECES = 1 << 14
+#: Positions of a segment's pieces in the order of their document, as many as a piece number can have.
+PIECES = 1 << 31
 
 _CARRIED = "doc_id string, seg_no int, section string, article string, subarticle string, heading_path array<string>, page_refs " + PAGE_REFS
 
@@ -55,7 +55,7 @@ def chunk_rows(segments: DataFrame, config: PipelineConfig, long: bool = False)
     are folded, each on its own.
     """
     p = pieces(segments, config)
-    p = p.withColumn("_pos", (F.col("seg_no") * PIECES + F.least("piece_no", F.lit(PIECES - 1))).cast("long"))
+    p = p.withColumn("_pos", F.col("seg_no").cast("long") * PIECES + F.col("piece_no"))
     fin = meta.final_article(F.col("text"), F.col("section"), F.col("article"), F.col("subarticle"))
     p = p.withColumn("_a", fin).withColumn("_tokens", token_count("text"))
     p = p.withColumn("article", F.col("_a.article")).withColumn("subarticle", F.col("_a.subarticle")).drop("_a")

@@ -9,6 +9,7 @@ from quirework.config import EvalConfig, GateConfig
 from quirework.functions import meta
 from quirework.functions.clean import nonblank_lines
 from quirework.operators.dedupe import duplicate_stats
+from quirework.operators.ordered import is_long, scan
 
 # What counts as a leftover.
 HTML_LEFT = r"(?i)</?(?:table|tr|td|th)\b"
@@ -144,18 +145,17 @@ def coverage(sources: DataFrame, chunks: DataFrame) -> DataFrame:
     )
 
 
-def consecutive_overlap(chunks: DataFrame, scan: int = 240) -> DataFrame:
+def consecutive_overlap(chunks: DataFrame, length: int = 240) -> DataFrame:
     """(doc_id, chunk_index, overlap): characters a chunk shares with the end of the one before it in its document.
 
-    A chunk_index that stands more than once is read once, by the smallest text. A self-join on the next index
-    replaces a window over whole documents.
+    A chunk_index that stands more than once is read once, by the smallest text. The end of the chunk before, whatever
+    its index, is carried along by a scan.
     """
-    c = chunks.groupBy("doc_id", "chunk_index").agg(F.min("text").alias("text"))
-    ranked = c.withColumn("prev_index", F.lag("chunk_index").over(Window.partitionBy("doc_id", F.floor(F.col("chunk_index") / 20000)).orderBy("chunk_index")))
-    before = c.select("doc_id", F.col("chunk_index").alias("prev_index"), F.right("text", F.lit(scan)).alias("tail"))
-    ranked = ranked.withColumn("prev_index", F.coalesce("prev_index", F.col("chunk_index") - 1))
-    return ranked.join(before, ["doc_id", "prev_index"]).select(
-        "doc_id", "chunk_index", meta.overlap_chars(F.col("tail"), F.col("text"), scan).alias("overlap")
+    c = chunks.where("chunk_index is not null").groupBy("doc_id", "chunk_index").agg(F.min("text").alias("text"))
+    tail = F.struct(F.right("text", F.lit(length)).alias("end"))
+    d = scan(c, "doc_id", "chunk_index", {"_was": ("last", tail)}, before=True, long=is_long(chunks, "chunk_index"))
+    return d.where("_was is not null").select(
+        "doc_id", "chunk_index", meta.overlap_chars(F.col("_was.end"), F.col("text"), length).alias("overlap")
     )
 
 
@@ -181,8 +181,17 @@ def quality_gates(counted: DataFrame, config: EvalConfig = EvalConfig()) -> Data
     return counted.select(F.explode(F.array(*gates)).alias("g")).select("g.*")
 
 
-def deterministic_gates(chunks: DataFrame, counted: DataFrame, coverage_pct: float, config: GateConfig = GateConfig()) -> DataFrame:
-    """(name, actual, expected, passed): the seven deterministic gates."""
+def coverage_pct(sources: DataFrame, chunks: DataFrame) -> DataFrame:
+    """(coverage_pct): mean coverage of the sources that have any character; 0 without one."""
+    covered = coverage(sources, chunks).where("source_chars > 0")
+    return covered.agg(F.coalesce(F.bround(F.avg("coverage") * 100, 2), F.lit(0.0)).alias("coverage_pct"))
+
+
+def deterministic_gates(chunks: DataFrame, counted: DataFrame, covered: float | DataFrame, config: GateConfig = GateConfig()) -> DataFrame:
+    """(name, actual, expected, passed): the seven deterministic gates.
+
+    ``covered`` is the coverage in per cent: a value, or the row of :func:`coverage_pct`.
+    """
     required = [F.col(f"metadata.{f}") for f in ("year", "name", "brief_description", "section", "article", "language_hint")]
     missing = required[0].isNull() & F.lit(False)
     for c in required:
@@ -192,7 +201,9 @@ def deterministic_gates(chunks: DataFrame, counted: DataFrame, coverage_pct: flo
     )
     tail = p95(consecutive_overlap(chunks, config.scan_chars), "overlap")
     row = counted.select("chunks", "mixed_article")
-    for part in (per, duplicate_stats(chunks), tail):
+    if not isinstance(covered, DataFrame):
+        covered = counted.select(F.lit(float(covered)).alias("coverage_pct"))
+    for part in (per, duplicate_stats(chunks), tail, covered):
         row = row.withColumn("_j", F.lit(0)).join(part.withColumn("_j", F.lit(0)), "_j", "left").drop("_j")
     p = lambda c: pct(F.col(c), F.col("chunks"))
     gates = [
@@ -202,7 +213,7 @@ def deterministic_gates(chunks: DataFrame, counted: DataFrame, coverage_pct: flo
         gate("missing_metadata_pct", p("incomplete"), F.lit(config.max_missing_pct)),
         gate("mixed_article_pct", p("mixed_article"), F.lit(config.max_mixed_pct)),
         gate("median_tokens", F.coalesce("median", F.lit(0.0)), F.lit(config.min_median_tokens), least=True),
-        gate("coverage_pct", F.lit(coverage_pct), F.lit(config.min_coverage), least=True),
+        gate("coverage_pct", F.coalesce("coverage_pct", F.lit(0.0)), F.lit(config.min_coverage), least=True),
     ]
     return row.select(F.explode(F.array(*gates)).alias("g")).select("g.*")
 

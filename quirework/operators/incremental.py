@@ -8,13 +8,16 @@ output and nothing else), and only then is the manifest committed, by one atomic
 from __future__ import annotations
 
 import json
-import uuid
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from quirework.runtime import materialize
+from quirework.sources.shared import Files
+
 
 def hex_value(col: Column | str) -> Column:
     """A hash spelled as the bare hexadecimal number it stands for.
@@ -120,39 +123,56 @@ def to_process(hashes: DataFrame, manifest: DataFrame, scan: DataFrame) -> DataF
 # --- manifest of processed input files -------------------------------------------------------
 
 
+class Commits:
+    """Numbered commits of a job in a shared folder.
+
+    ``<root>/<n>.json`` holds one finished commit. It comes to be by one rename of a finished file to a name that must
+    not exist, so of two writers one fails. What no commit names is ignored.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.root, self.files = root.rstrip("/"), Files(spark)
+
+    def all(self) -> list[dict]:
+        return [json.loads(self.files.read(f"{self.root}/{n}")) for n in self.files.names(self.root) if _COMMIT.fullmatch(n)]
+
+    def last(self) -> tuple[int, dict | None]:
+        """(how many there are, the last one)"""
+        names = [n for n in self.files.names(self.root) if _COMMIT.fullmatch(n)]
+        return len(names), json.loads(self.files.read(f"{self.root}/{names[-1]}")) if names else None
+
+    def add(self, n: int, body: dict) -> None:
+        """The ``n``-th commit, counted from 0."""
+        path = f"{self.root}/{n:08d}.json"
+        if not self.files.create(path, json.dumps(body)):
+            raise RuntimeError(f"another run committed first: {path}")
+
+
+_COMMIT = re.compile(r"\d{8}\.json")
+
+
 class Manifest:
     """Committed state of an incremental job in a shared folder.
 
-    ``commits/<n>.json`` names the batch and its output; a commit is one rename of a finished
-    file to a name that must not exist, so of two writers one fails. ``state/<batch>`` holds the
-    listing (path, size, checksum) after that batch. Anything not named by a commit is ignored.
+    ``commits`` names the batches and their outputs (:class:`Commits`). ``state/<batch>`` says of every file ever seen
+    with which size and checksum it was processed last, and in which batch.
     """
 
-    SCHEMA = "path string, size long, checksum string"
+    SCHEMA = "path string, size long, checksum string, batch string"
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-
-    def _fs(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        self._commits = Commits(spark, f"{self.root}/commits")
 
     def commits(self) -> list[dict]:
-        p, fs = self._fs(f"{self.root}/commits")
-        if not fs.exists(p):
-            return []
-        names = sorted(s.getPath().getName() for s in fs.listStatus(p) if s.getPath().getName().endswith(".json"))
-        return [json.loads("".join(r.value for r in self.spark.read.text(f"{self.root}/commits/{n}").collect())) for n in names]
+        return self._commits.all()
 
     def state(self) -> DataFrame:
-        done = self.commits()
-        if not done:
-            return self.spark.createDataFrame([], self.SCHEMA)
-        return self.spark.read.schema(self.SCHEMA).parquet(done[-1]["state"])
+        _, last = self._commits.last()
+        return self.spark.read.schema(self.SCHEMA).parquet(last["state"]) if last else self.spark.createDataFrame([], self.SCHEMA)
 
     def pending(self, listing: DataFrame) -> DataFrame:
-        """Files of ``listing`` (path, size, checksum) that no commit has in this size and checksum."""
+        """Files of ``listing`` (path, size, checksum) that were not processed last in this size and checksum."""
         return listing.select("path", "size", "checksum").distinct().join(
             self.state(), ["path", "size", "checksum"], "left_anti"
         )
@@ -160,34 +180,39 @@ class Manifest:
     def run(self, listing: DataFrame, process: Callable[[DataFrame], DataFrame], output: str, batch: str) -> DataFrame | None:
         """Process what is pending and commit it; None if the batch was committed before.
 
-        After a failure the same call again overwrites the partial output of its own batch, so no
-        record is skipped or written twice.
+        After a failure the same call again overwrites the partial output of its own batch, so no record is skipped or
+        written twice. The listing is taken once, before anything is processed: a file that changes meanwhile is recorded
+        as it was listed, so the next run processes it again. Files that a listing lacks stay processed.
         """
         done = self.commits()
         if any(c["batch"] == batch for c in done):
             return None
-        due = self.pending(listing)
+        seen = materialize(listing.select("path", "size", "checksum").distinct(), "listing")
+        due = materialize(self.pending(seen), "due")
         target = f"{output.rstrip('/')}/batch={batch}"
         process(due).write.mode("overwrite").parquet(target)
         state = f"{self.root}/state/{batch}"
-        listing.select("path", "size", "checksum").distinct().write.mode("overwrite").parquet(state)
-        body = json.dumps({"batch": batch, "output": target, "state": state})
-        tmp, fs = self._fs(f"{self.root}/commits/.{uuid.uuid4().hex}.tmp")
-        out = fs.create(tmp, False)
-        out.write(bytearray(body.encode()))
-        out.close()
-        final, _ = self._fs(f"{self.root}/commits/{len(done):08d}.json")
-        if fs.exists(final) or not fs.rename(tmp, final):
-            raise RuntimeError(f"another run committed first: {final}")
+        kept = self.state().join(due.select("path"), "path", "left_anti")
+        kept.unionByName(due.withColumn("batch", F.lit(batch))).write.mode("overwrite").parquet(state)
+        self._commits.add(len(done), {"batch": batch, "output": target, "state": state})
         return self.spark.read.parquet(target)
 
     def committed(self, output: str) -> DataFrame | None:
-        """Output of the committed batches only."""
+        """Output of the committed batches only.
+
+        Where it has a column ``path``, rows of a file come from the batch that processed the file last; those of earlier
+        batches are superseded.
+        """
         paths = [c["output"] for c in self.commits() if c["output"].startswith(output.rstrip("/"))]
         try:
-            return self.spark.read.option("basePath", output).parquet(*paths) if paths else None
+            rows = self.spark.read.option("basePath", output).option("mergeSchema", "true").parquet(*paths) if paths else None
         except AnalysisException:
             return None
+        if rows is None or "path" not in rows.columns:
+            return rows
+        last = self.state().select(F.col("path").alias("_path"), F.col("batch").alias("_batch"))
+        now = (F.col("path") == F.col("_path")) & (F.col("batch").cast("string") == F.col("_batch"))
+        return rows.join(last, now, "left_semi")
 
 
 def file_listing(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:

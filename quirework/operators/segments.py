@@ -13,7 +13,8 @@ from quirework.functions.tokens import py_token_count, token_count
 from quirework.operators.ordered import numbered, scan
 from quirework.runtime import materialize, spread
 
-MAX_DEPTH = 9
+#: Up to this heading level the depth of paths is bounded by it; beyond, the depth that occurs is looked up.
+FEW_LEVELS = 9
 TOC_LABEL = "TABLE OF CONTENTS"
 
 
@@ -70,12 +71,15 @@ def heading_paths(blocks: DataFrame, long: bool = False) -> DataFrame:
     is_heading = F.col("heading_level").isNotNull()
     d = scan(blocks, "doc_id", "pos", {"_i": ("sum", is_heading.cast("int"))}, long=long)
     d = scan(d, "doc_id", "pos", {"_low": ("min", F.when(is_heading, level - F.col("_i")))}, long=long)
-    depth = F.when(is_heading, F.least(F.col("_i") + F.least(F.lit(0), F.col("_low")), F.lit(MAX_DEPTH)))
+    d = d.withColumn("_depth", F.when(is_heading, F.col("_i") + F.least(F.lit(0), F.col("_low"))))
+    deepest = max(1, blocks.agg(F.max("heading_level")).first()[0] or 1)
+    if deepest > FEW_LEVELS:
+        d = materialize(d, "depths")
+        deepest = d.agg(F.coalesce(F.max("_depth"), F.lit(1))).first()[0]
     title = meta.bare(F.col("text"))
-    d = d.withColumn("_depth", depth)
-    outs = {"_now": ("last", F.col("_depth"))} | {f"_h{k}": ("last", F.when(F.col("_depth") == k, title)) for k in range(1, MAX_DEPTH + 1)}
+    outs = {"_now": ("last", F.col("_depth"))} | {f"_h{k}": ("last", F.when(F.col("_depth") == k, title)) for k in range(1, deepest + 1)}
     d = scan(d, "doc_id", "pos", outs, long=long)
-    path = F.slice(F.array(*[F.col(f"_h{k}") for k in range(1, MAX_DEPTH + 1)]), F.lit(1), F.coalesce(F.col("_now"), F.lit(0)))
+    path = F.slice(F.array(*[F.col(f"_h{k}") for k in range(1, deepest + 1)]), F.lit(1), F.coalesce(F.col("_now"), F.lit(0)))
     return d.withColumn("heading_path", path).drop("_i", "_low", "_depth", *outs)
 
 

@@ -275,9 +275,10 @@ def quality_gates(spark: SparkSession, d: str) -> DataFrame:
 
 
 def deterministic_gates(spark: SparkSession, d: str) -> DataFrame:
-    """R16, R17."""
+    """With the coverage of the documents by their chunks."""
     chunks, docs = _evaluated(spark, d)
-    return evaluate.deterministic_gates(chunks, evaluate.counters(chunks, docs), 93.91)
+    src = _t(spark, d, "documents").select(F.col("doc_key").alias("doc_id"), "text")
+    return evaluate.deterministic_gates(chunks, evaluate.counters(chunks, docs), evaluate.coverage_pct(src, chunks))
 
 
 def char_coverage(spark: SparkSession, d: str) -> DataFrame:

@@ -2,38 +2,65 @@
 
 from __future__ import annotations
 
+import json
+import re
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from quirework import schemas
 from quirework.functions.clean import IMAGE_LINE, WS, strip
-from quirework.operators.ordered import BLOCK, scan
+from quirework.operators.ordered import BLOCK, is_long, scan
+from quirework.runtime import materialize
 from quirework.schemas import PAGE_REFS
 
 BLOCK_TYPES = ("title", "text", "list", "table_body", "equation", "table_caption", "table_footnote")
 CONTENT_TYPES = ("text", "list", "table", "equation")
 HEADING = rf"^{WS}*(#{{1,6}}){WS}+(.*)$"
-#: Positions of one page in the order of a block list.
-PAGE = 1 << 15
 NO_SOURCE = "No block_list.json, *_content_list.json, or .md file found"
 
 
+_FILES = "folder string, name string, path string, rel string, size long, modified timestamp, content binary, depth int"
+
+
 def files(spark: SparkSession, root: str) -> DataFrame:
-    """(folder, name, path, size, content) of every file in the child folders of ``root``; a missing root has none."""
+    """(folder, name, path, rel, size, modified, content, depth) of every file in the child folders of ``root``.
+
+    ``rel`` is the path below the folder. A missing root has none. The content is read only where it is used.
+    """
     try:
         raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     except AnalysisException:
-        return spark.createDataFrame([], "folder string, name string, path string, size long, content binary")
+        return spark.createDataFrame([], _FILES)
     base = F.lit(root.rstrip("/").removeprefix("file://"))
     plain = F.regexp_replace(F.col("path"), "^file:/*", "/")
     rest = F.substring(plain, F.length(base) + 2, 1_000_000)
     return raw.select(
         F.regexp_extract(rest, "^([^/]+)/", 1).alias("folder"), F.regexp_extract(rest, "([^/]+)$", 1).alias("name"), plain.alias("path"),
-        F.col("length").alias("size"), "content", F.size(F.split(rest, "/")).alias("depth"),
+        F.regexp_replace(rest, "^[^/]+/", "").alias("rel"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"),
+        "content", F.size(F.split(rest, "/")).alias("depth"),
     ).where("folder <> ''")
 
 
+#: Up to so many files are opened by name; more are found by a join over the listing.
+NAMED_FILES = 5_000
+
+
+def contents(found: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(path, content) of the ``wanted`` files (path) among ``found`` ones; no other file is opened if they are few."""
+    wanted = wanted.select("path").distinct()
+    few = [r.path for r in wanted.limit(NAMED_FILES + 1).collect()]
+    if len(few) > NAMED_FILES:
+        return found.select("path", "content").join(wanted, "path", "left_semi")
+    if not few:
+        return found.sparkSession.createDataFrame([], "path string, content binary")
+    raw = found.sparkSession.read.format("binaryFile").load([re.sub(r"([\\{}\[\]*?])", r"\\\1", p) for p in few])
+    return raw.select(F.regexp_replace("path", "^file:/*", "/").alias("path"), "content")
+
+
 def doc_id(folder: Column) -> Column:
     """Id of a document: of its folder's path relative to the input root, so it is the same on every machine."""
     return F.left(F.sha1(folder), F.lit(16))
@@ -77,10 +104,12 @@ def block_list(raw: DataFrame) -> DataFrame:
     first of them: stripped, empty and equal neighbouring ones left out. Later connections replace earlier ones of
     the same first block; each reads the blocks as they were. Of two blocks at one position the last counts.
     """
-    j = raw.select("doc_id", F.from_json(_text(F.col("content")), schemas.BLOCK_LIST).alias("j"))
+    j = materialize(raw.select("doc_id", F.from_json(_text(F.col("content")), schemas.BLOCK_LIST).alias("j")), "block-lists")
+    pages = j.select("doc_id", F.posexplode("j.pdfData").alias("page", "items"))
+    before = {"_before": ("sum", F.greatest(F.size("items"), F.lit(0)))}
     items = (
-        j.select("doc_id", F.posexplode("j.pdfData").alias("page", "items"))
-        .select("doc_id", "page", F.posexplode("items").alias("item", "b"))
+        scan(pages, "doc_id", "page", before, before=True, long=is_long(pages, "page"))
+        .select("doc_id", "_before", F.posexplode("items").alias("item", "b"))
         .where(~F.coalesce("b.is_discarded", F.lit(False)) & F.trim("b.type").isin(*BLOCK_TYPES))
     )
     table = F.coalesce(_filled(F.col("b.table_body")), _filled(F.col("b.text")), F.lit(""))
@@ -88,7 +117,7 @@ def block_list(raw: DataFrame) -> DataFrame:
     kind = F.trim("b.type")
     ref = F.struct(F.col("b.page_idx").alias("page_idx"), F.col("b.id").alias("block_id"), F.col("b.block_position").alias("block_position"))
     base = items.select(
-        "doc_id", (F.col("page") * PAGE + F.col("item")).cast("int").alias("pos"), F.when(kind == "table_body", table).otherwise(other).alias("text"),
+        "doc_id", (F.col("_before") + F.col("item")).cast("int").alias("pos"), F.when(kind == "table_body", table).otherwise(other).alias("text"),
         kind.alias("block_type"), F.when(F.col("b.page_idx").isNotNull(), F.array(ref)).otherwise(F.array()).cast(PAGE_REFS).alias("page_refs"),
         F.when(kind == "title", F.col("b.level")).alias("heading_level"), F.col("b.block_position").alias("source_hint"),
     )
@@ -162,14 +191,17 @@ def markdown(texts: DataFrame) -> DataFrame:
     return heads.unionByName(body)
 
 
-def load_blocks(found: DataFrame, choices: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(blocks, modes): blocks of every folder from its first source that has any, and (doc_id, source_mode_used)."""
+def load_blocks(found: DataFrame, choices: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(blocks, modes, errors): blocks of every folder from its first source that has any, (doc_id, source_mode_used), and
+    (doc_id, error) of the folders one of whose sources isn't the JSON it should be."""
     def content(path: str) -> DataFrame:
-        return choices.where(F.col(path).isNotNull()).select("doc_id", F.col(path).alias("path")).join(found.select("path", "content"), "path").select("doc_id", "content")
+        named = choices.where(F.col(path).isNotNull()).select("doc_id", F.col(path).alias("path"))
+        return named.join(contents(found, named), "path").select("doc_id", "path", "content")
 
+    listed, items = content("block_path"), content("content_path")
     readers = (
-        ("block_list", block_list(content("block_path"))),
-        ("content_list", content_list(content("content_path"))),
+        ("block_list", block_list(listed.select("doc_id", "content"))),
+        ("content_list", content_list(items.select("doc_id", "content"))),
         ("md", markdown(content("md_path").select("doc_id", _text(F.col("content")).alias("text")))),
     )
     blocks = None
@@ -179,15 +211,52 @@ def load_blocks(found: DataFrame, choices: DataFrame) -> tuple[DataFrame, DataFr
     used = blocks.groupBy("doc_id").agg(F.min(F.struct("rank", "mode")).alias("used"))
     modes = choices.select("doc_id").join(used, "doc_id", "left").select("doc_id", F.coalesce("used.mode", F.lit("none")).alias("source_mode_used"))
     kept = blocks.join(used.select("doc_id", F.col("used.rank").alias("rank")), ["doc_id", "rank"], "left_semi").drop("rank", "mode")
-    return kept, modes
+    return kept, modes, json_errors(listed, "{").unionByName(json_errors(items, "[")).groupBy("doc_id").agg(F.min("error").alias("error"))
+
+
+def json_errors(raw: DataFrame, opens: str) -> DataFrame:
+    """(doc_id, error) of the files of ``raw`` (doc_id, path, content) that aren't JSON, or don't open as they should."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for doc_id, path, content in zip(b["doc_id"], b["path"], b["content"]):
+                try:
+                    what = json.loads(bytes(content).decode("utf-8"))
+                    error = None if isinstance(what, {"{": dict, "[": list}[opens]) else f"not a JSON {'object' if opens == '{' else 'array'}"
+                except (ValueError, RecursionError) as e:
+                    error = str(e)
+                if error:
+                    rows.append((doc_id, f"{path.rsplit('/', 1)[-1]}: {error}"))
+            yield pd.DataFrame(rows, columns=["doc_id", "error"])
+
+    return raw.select("doc_id", "path", "content").mapInPandas(run, "doc_id string, error string")
+
+
+def checksums(found: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """(folder, path, rel, size, modified, sum) of every file.
+
+    Files that ``known`` (path, size, modified, sum) has in this size and time aren't read again.
+    """
+    listed = found.select("folder", "path", "rel", "size", "modified")
+    if known is None:
+        return found.select(*listed.columns, F.sha2("content", 256).alias("sum"))
+    at = ["path", "size", "modified"]
+    same = listed.join(known.select(*at, "sum"), at)
+    new = materialize(listed.join(known.select(*at), at, "left_anti"), "new-files")
+    read = new.join(contents(found, new), "path").select(*listed.columns, F.sha2("content", 256).alias("sum"))
+    return same.select(*listed.columns, "sum").unionByName(read)
 
 
 def folder_hashes(found: DataFrame) -> DataFrame:
-    """(doc_id, folder, content_hash): over the relative paths and checksums of all files of a folder, in order."""
-    one = F.struct("path", F.sha2("content", 256).alias("sum"))
-    g = found.groupBy("folder").agg(F.array_sort(F.collect_list(one)).alias("f"))
-    rest = lambda x: F.concat(F.regexp_extract(x["path"], r"([^/]+)$", 1), F.lit("\x00"), x["sum"])
-    return g.select(doc_id(F.col("folder")).alias("doc_id"), "folder", F.sha1(F.array_join(F.transform("f", rest), "\n")).alias("content_hash"))
+    """(doc_id, folder, content_hash): over the paths below the folder and the checksums of all its files, in order.
+
+    ``found`` has (folder, rel) and the files' ``content`` or, from :func:`checksums`, their ``sum``.
+    """
+    sums = found if "sum" in found.columns else found.withColumn("sum", F.sha2("content", 256))
+    g = sums.groupBy("folder").agg(F.array_sort(F.collect_list(F.struct("rel", "sum"))).alias("f"))
+    line = lambda x: F.concat(x["rel"], F.lit("\x00"), x["sum"])
+    return g.select(doc_id(F.col("folder")).alias("doc_id"), "folder", F.sha1(F.array_join(F.transform("f", line), "\n")).alias("content_hash"))
 
 
 def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -3,17 +3,16 @@
 from __future__ import annotations
 
 import json
-import os
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quirework.sources.shared import Files
 
-def write_json(path: str, payload: dict | list) -> None:
+
+def write_json(spark: SparkSession, path: str, payload: dict | list) -> None:
     """A small object as indented JSON, non-ASCII kept."""
-    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-    with open(path, "w", encoding="utf-8") as f:
-        json.dump(payload, f, ensure_ascii=False, indent=2, default=str)
+    Files(spark).write(path, json.dumps(payload, ensure_ascii=False, indent=2, default=str))
 
 
 def write_json_lines(df: DataFrame, path: str, order: list[str], keep_nulls: tuple[str, ...] = ()) -> None:
@@ -55,8 +54,6 @@ def scorecard(report: dict) -> str:
     return "\n".join(lines) + "\n"
 
 
-def write_reports(report: dict, json_path: str, md_path: str) -> None:
-    write_json(json_path, report)
-    os.makedirs(os.path.dirname(md_path) or ".", exist_ok=True)
-    with open(md_path, "w", encoding="utf-8") as f:
-        f.write(scorecard(report))
+def write_reports(spark: SparkSession, report: dict, json_path: str, md_path: str) -> None:
+    write_json(spark, json_path, report)
+    Files(spark).write(md_path, scorecard(report))

@@ -63,3 +63,47 @@ def test_manifest_survives_failures(spark, tmp_path):
     m.run(listing(), read, out, "3")
     assert sorted(r.value for r in m.committed(out).collect()) == ["one", "one changed", "three", "two"]
     assert m.pending(listing()).count() == 0
+
+
+def read_with_path(spark):
+    def read(due):
+        paths = [r.path for r in due.collect()]
+        empty = spark.createDataFrame([], "value string, path string")
+        return spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("path")) if paths else empty
+
+    return read
+
+
+def test_a_file_that_changes_while_its_batch_runs_is_processed_again(spark, tmp_path):
+    src, out = tmp_path / "src", str(tmp_path / "out")
+    src.mkdir()
+    (src / "a.txt").write_text("old\n")
+    m = inc.Manifest(spark, str(tmp_path / "manifest"))
+    read = read_with_path(spark)
+
+    def slow(due):
+        rows = read(due).collect()
+        (src / "a.txt").write_text("quite new\n")
+        return spark.createDataFrame(rows, "value string, path string")
+
+    m.run(inc.file_listing(spark, str(src)), slow, out, "1")
+    assert m.pending(inc.file_listing(spark, str(src))).count() == 1
+    m.run(inc.file_listing(spark, str(src)), read, out, "2")
+    assert [r.value for r in m.committed(out).collect()] == ["quite new"], "the old rows are superseded"
+    assert m.pending(inc.file_listing(spark, str(src))).count() == 0
+
+
+def test_a_file_that_a_listing_lacks_stays_processed(spark, tmp_path):
+    src, out = tmp_path / "src", str(tmp_path / "out")
+    src.mkdir()
+    for n in "ab":
+        (src / f"{n}.txt").write_text(f"{n}\n")
+    m = inc.Manifest(spark, str(tmp_path / "manifest"))
+    whole = inc.file_listing(spark, str(src)).collect()
+    listing = lambda rows: spark.createDataFrame(rows, "path string, size long, checksum string")
+    m.run(listing(whole), read_with_path(spark), out, "1")
+    m.run(listing(whole[:1]), read_with_path(spark), out, "2")
+    assert m.pending(listing(whole)).count() == 0
+    assert sorted(r.value for r in m.committed(out).collect()) == ["a", "b"]
+    with pytest.raises(RuntimeError):
+        inc.Commits(spark, str(tmp_path / "manifest" / "commits")).add(1, {})

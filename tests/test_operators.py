@@ -177,3 +177,27 @@ def test_stubs_between_rows_that_merge(spark, monkeypatch):
     monkeypatch.setattr(assemble, "islands", lambda rows, *a, **k: rows.withColumn("island", F.lit(0)))
     whole = sorted((r.doc_id, r._ord, r.text) for r in assemble.chunk_rows(df, PipelineConfig()).collect())
     assert [(d, t) for d, _, t in got] == [(d, t) for d, _, t in whole]
+
+
+def test_overlap_carries_over_the_borders_of_blocks(spark):
+    """The chunk before is the one before, whatever its index and however long the document."""
+    index = [0, 19_998, 20_001, 20_002, 60_000]
+    c = spark.createDataFrame([("d", i, f"tail{k} text tail{k + 1}") for k, i in enumerate(index)], "doc_id string, chunk_index int, text string")
+    got = {r.chunk_index: r.overlap for r in evaluate.consecutive_overlap(c).collect()}
+    assert got == {i: 5 for i in index[1:]}
+
+
+def test_heading_paths_of_any_depth(spark):
+    levels = [*range(1, 16), 3, 40, 41, 2, None]
+    got = segments.heading_paths(blocks(spark, [(f"h{i}", n) for i, n in enumerate(levels)])).orderBy("pos").collect()
+    assert [x.heading_path for x in got] == stack(levels)
+
+
+def test_very_many_pieces_keep_their_order(spark):
+    """Positions beyond what 32 bits hold: a segment of a high number with many pieces."""
+    n = 17_000
+    text = "Table:\n" + "\n".join(f"{k} | " + "w " * 300 for k in range(n))
+    rows = [("d", 200_000, text, [], None, None, None, [])]
+    got = assemble.chunk_rows(spark.createDataFrame(rows, SEG), PipelineConfig()).orderBy("_ord").select(F.regexp_extract("text", r"(\d+) \|", 1).cast("int").alias("k")).collect()
+    first = [r.k for r in got if r.k is not None]
+    assert first == sorted(first) and len(first) > 16_500

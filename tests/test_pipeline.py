@@ -58,7 +58,8 @@ def test_readers(spark, folders):
     c = {r.folder.split(".")[0].lower(): r for r in readers.choose_sources(found).collect()}
     assert [c[k].mode for k in ("alpha_call", "beta", "gamma", "empty")] == ["block_list", "content_list", "md", "none"]
     assert c["alpha_call"].fallback_reason is None and "missing" in c["beta"].fallback_reason
-    blocks, modes = readers.load_blocks(found, readers.choose_sources(found))
+    blocks, modes, errors = readers.load_blocks(found, readers.choose_sources(found))
+    assert errors.count() == 0
     a = [r for r in blocks.orderBy("pos").collect() if r.doc_id == c["alpha_call"].doc_id]
     assert [r.block_type for r in a] == ["title", "text", "table_body", "text"]
     assert a[2].text.count("<table>") == 2 and [r.page_idx for r in a[2].page_refs] == [0, 1]
@@ -121,3 +122,103 @@ def test_order_of_chunks_is_contiguous(spark, folders, tmp_path):
     run_pipeline(spark, config(folders, tmp_path, dedupe_chunks=False))
     c = spark.read.parquet(str(tmp_path / "out" / "chunks")).groupBy("doc_id").agg(F.max("chunk_index").alias("m"), F.count_distinct("chunk_index").alias("n"))
     assert all(r.m + 1 == r.n for r in c.collect())
+
+
+def snapshot(spark, out):
+    return sorted((r.doc_id, r.chunk_index, r.text) for r in spark.read.parquet(str(out / "chunks")).collect())
+
+
+def test_a_run_that_breaks_off_leaves_one_whole_state(spark, folders, tmp_path, monkeypatch):
+    """Killed before any of its writes, a run leaves the results as they were; the next one makes what one run makes."""
+    from pyspark.sql import DataFrameWriter
+
+    from quirework.plans import pipeline
+
+    out = tmp_path / "out"
+    for name in ("Alpha_call.pdf-12345678-1234-1234-1234-123456789abc", "beta"):
+        for f in (folders / name).iterdir():
+            f.unlink()
+    run_pipeline(spark, config(folders, tmp_path))
+    before = snapshot(spark, out)
+    write(folders / "delta" / "a.md", "# Notes\n\nA wholly different paragraph that stands alone and has quite enough words to make up a chunk of its own today.\n")
+
+    def boom(*a, **k):
+        raise RuntimeError("lost")
+
+    def broken(patch):
+        with monkeypatch.context() as m:
+            patch(m)
+            with pytest.raises(RuntimeError):
+                run_pipeline(spark, config(folders, tmp_path))
+
+    parquet, add, put = DataFrameWriter.parquet, pipeline.Commits.add, pipeline.publish
+    for stop in ("batches", "entries", "/chunks", "document_results"):
+        fail = lambda self, path, *a, stop=stop, **k: boom() if str(out) in path and stop in path else parquet(self, path, *a, **k)
+        broken(lambda m: m.setattr(DataFrameWriter, "parquet", fail))
+        assert snapshot(spark, out) == before, stop
+    broken(lambda m: m.setattr(pipeline.Commits, "add", boom))
+    assert snapshot(spark, out) == before
+    calls = []
+    broken(lambda m: m.setattr(pipeline, "publish", lambda *a: calls.append(a) or (boom() if len(calls) > 1 else put(*a))))
+    assert snapshot(spark, out) == before and pipeline.Commits.add is add
+    m = run_pipeline(spark, config(folders, tmp_path))
+    assert m["incremental"]["processed_documents"] == 0, "the run before was committed"
+    texts = [t for *_, t in snapshot(spark, out)]
+    assert len(texts) == len(before) + 1 and sum("wholly different" in t for t in texts) == 1 and sum("same paragraph" in t for t in texts) == 1
+
+
+def test_folder_hash_knows_where_a_file_lies(spark, tmp_path):
+    from quirework.sources.readers import checksums, files, folder_hashes
+
+    write(tmp_path / "in" / "x" / "s1" / "a.md", "one")
+    first = folder_hashes(files(spark, str(tmp_path / "in"))).first().content_hash
+    (tmp_path / "in" / "x" / "s2").mkdir()
+    (tmp_path / "in" / "x" / "s1" / "a.md").rename(tmp_path / "in" / "x" / "s2" / "a.md")
+    found = files(spark, str(tmp_path / "in"))
+    second = folder_hashes(found).first().content_hash
+    assert first != second
+    known = checksums(found)
+    assert folder_hashes(checksums(found, known)).first().content_hash == second
+
+
+def test_malformed_sources_are_reported_with_their_cause(spark, tmp_path):
+    root = tmp_path / "in"
+    write(root / "broken" / "block_list.json", '{"pdfData": [[')
+    write(root / "list" / "block_list.json", "[1]")
+    write(root / "second" / "block_list.json", "nothing")
+    write(root / "second" / "a.md", "# T\n\nThe Markdown beside it is read instead, which has enough words to be a chunk of its own.\n")
+    m = run_pipeline(spark, config(root, tmp_path))
+    errors = {e["source_folder"]: e["error"] for e in m["errors"]}
+    assert m["documents"] == 1 and set(errors) == {"broken", "list"}
+    assert errors["broken"].startswith("block_list.json: Expecting") and errors["list"] == "block_list.json: not a JSON object"
+
+
+def test_cli_measures_coverage(spark, folders, tmp_path, capsys):
+    from quirework import cli
+
+    out = str(tmp_path / "out")
+    assert cli.main(["run", "--input-dir", str(folders), "--output-dir", out]) == 0
+    report, gates = str(tmp_path / "r.json"), str(tmp_path / "g.json")
+    assert cli.main(["evaluate", "--artifacts-dir", out, "--output-json", report, "--output-md", str(tmp_path / "r.md")]) == 0
+    covered = json.load(open(report))["coverage_pct"]
+    assert 0 < covered <= 100 and "scorecard" in open(tmp_path / "r.md").read()
+    for more in ([], ["--eval-report", report]):
+        cli.main(["gates", "--artifacts-dir", out, "--output-json", gates, *more])
+        checks = {c["name"]: c for c in json.load(open(gates))["checks"]}
+        assert checks["coverage_pct"]["actual"] == covered
+    rows = [json.loads(x) for x in "".join(p.read_text() for p in sorted((tmp_path / "out" / "chunks.jsonl").glob("part-*"))).splitlines()]
+    assert len(rows) == spark.read.parquet(out + "/chunks").count() and "text" in rows[0]
+    assert readers.json_lines(spark, out + "/documents.jsonl", "doc_id string, name string").count() == 4
+    assert json.load(open(tmp_path / "out" / "run_manifest.json"))["documents"] == 4
+
+
+def test_unmeasured_coverage_fails_its_gate(spark, folders, tmp_path):
+    run_pipeline(spark, config(folders, tmp_path))
+    report = run_gates(*(spark.read.parquet(str(tmp_path / "out" / t)) for t in ("chunks", "documents")), coverage_pct=None, check=False)
+    assert not next(c for c in report["checks"] if c["name"] == "coverage_pct")["passed"]
+
+
+def test_public_names():
+    import quirework
+
+    assert all(getattr(quirework, n) is not None for n in quirework.__all__)
