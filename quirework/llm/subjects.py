@@ -74,7 +74,7 @@ def prepared(documents: DataFrame) -> DataFrame:
             titles, bodies = [], []
             for text in b["text"]:
                 text = text or ""
-                titles.append(" ".join(_LETTERS.findall(fold(text.lstrip().split("\n", 1)[0][:300]))))
+                titles.append(" ".join(_LETTERS.findall(fold(text.lstrip().split("\n", 1)[0]))))
                 bodies.append(prepare(text))
             yield pd.DataFrame({"doc_id": b["doc_id"], "source": b["source"].tolist(), "title": titles, "body": bodies})
 
@@ -148,7 +148,8 @@ def seed_words(samples: list[tuple[str | None, str | None]]) -> tuple[dict[str,
 
 
 def is_framed(words: list[str], frames: frozenset[str]) -> bool:
-    return sum(w in frames for w in words) >= 2
+    """Whether a sentence has two frame words; where the samples share none, no sentence is told from another."""
+    return not frames or sum(w in frames for w in words) >= 2
 
 
 def prepare(text: str) -> str:

@@ -75,3 +75,21 @@ def test_no_word_is_left_out_for_being_rare(spark):
     lexicon = {"biologia": ("biology", 0.9)}
     words = spark.createDataFrame([(w,) for w in [*many[:25_000], "biologie"]], "word string").repartition(3)
     assert S.likes(words, lexicon) == S.cognates(lexicon, ["biologie"]) != {}
+
+
+def test_texts_without_shared_frames(spark):
+    """Samples and documents in a style of their own: short notes that have nothing but their subject's words in common."""
+    r = random.Random(9)
+    nonce = lambda k: ["".join(r.choice("bdglmnrtv") + r.choice("aeiou") for _ in range(4)) for _ in range(k)]
+    note = lambda s: " ".join(r.sample(WORDS[s], 3) + nonce(2)).capitalize() + "."
+    idle = lambda: " ".join(nonce(5)).capitalize() + "."
+    docs, truth = [], set()
+    for d in range(300):
+        s = r.choice([*sorted(WORDS), None])
+        body = [note(s) for _ in range(3)] if s else []
+        truth |= {(d, s)} if s else set()
+        docs.append((d, "Note\n\n" + " ".join(body + [idle() for _ in range(3)]), "a"))
+    samples = [(i, f"{note(s)} {idle()}", s) for i, s in enumerate(sorted(WORDS) * 8)]
+    assert not S.seed_words([(t, s) for _, t, s in samples])[1], "no frame words"
+    got = {(x.doc_id, x.subject) for x in S.subjects_of(spark.createDataFrame(docs, DOCS), spark.createDataFrame(samples, SAMPLES), spark.createDataFrame([(s, "") for s in WORDS], AREAS)).collect()}
+    assert len(got & truth) / len(truth) > 0.9 and len(got & truth) / max(1, len(got)) > 0.9
