@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from quirework.functions.tokens import TOKEN_RE2, token_sql
+from quirework.plans.clean_sql import CLEAN_BLOCKS
 
 _WS = r"[\s\p{Z}\x1c-\x1f\x{85}]"
 
@@ -285,6 +286,7 @@ from documents d left join c on c.doc_id = d.doc_key left join p on p.doc_id = d
         ("provenance_issues", "empty_refs + missing_range + invalid_range", "<=", "0"),
     ]),
     "char_coverage": _COVERAGE,
+    "clean_blocks": CLEAN_BLOCKS,
     "consecutive_overlap": """
 with c as (select doc_id, chunk_index, min(text) as text from chunks group by 1, 2),
 p as (select *, right(lag(text) over (partition by doc_id order by chunk_index), 240) as a, left(text, 240) as b from c)
