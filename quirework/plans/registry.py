@@ -6,6 +6,7 @@ SQL is given and the operator is tested in ``tests/`` instead.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,11 +16,11 @@ from quirework.config import EvalConfig, PipelineConfig
 from quirework.functions import clean, meta
 from quirework.functions.tokens import TOKEN_JAVA, token_count, token_sql
 from quirework.operators import assemble, dedupe, evaluate, incremental, segments
-from quirework.operators.ordered import is_long
+from quirework.operators.ordered import is_long, numbered
 from quirework.plans.pipeline import chunk_blocks
 from quirework.plans.sql import ORACLES
-from quirework.runtime import read_table
-from quirework.sources import readers
+from quirework.runtime import read_table, shared_dir
+from quirework.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -95,6 +96,63 @@ def paragraph_blocks(spark: SparkSession, d: str) -> DataFrame:
     return readers.markdown(docs).select("doc_id", "pos", "text", "block_type", "heading_level")
 
 
+def source_choice(spark: SparkSession, d: str) -> DataFrame:
+    """The source read of each folder, from the files it would hold by its mode in the scans."""
+    f = _t(spark, d, "folder_scan").groupBy("source_folder").agg(F.max("source_mode").alias("mode"))
+    names = F.when(F.col("mode") == "block_list", F.array(F.lit("block_list.json"), F.lit("z_content_list.json"), F.lit("b.md"))).when(
+        F.col("mode") == "content_list", F.array(F.lit("z_content_list.json"), F.lit("a_content_list.json"), F.lit("c.md"))
+    ).when(F.col("mode") == "md", F.array(F.lit("b.md"), F.lit("a.md"), F.lit("notes.txt"))).otherwise(F.array(F.lit("notes.txt")))
+    found = f.select(F.col("source_folder").alias("folder"), F.explode(names).alias("name")).withColumn("path", F.concat_ws("/", "folder", "name"))
+    return readers.choose_sources(found).select("folder", "mode", "block_path", "content_path", "md_path", "fallback_reason")
+
+
+def _numbered_blocks(spark: SparkSession, d: str) -> DataFrame:
+    return numbered(segments.distinct_blocks(_t(spark, d, "blocks")), "doc_id", "pos", "i", _long(spark, d))
+
+
+def block_list_read(spark: SparkSession, d: str) -> DataFrame:
+    """The blocks of each document as a block list in JSON, ten a page, and read back.
+
+    Every seventh block is discarded, and a connection joins the second and third of each document.
+    """
+    table = F.col("block_type") == "table_body"
+    at = lambda i: F.concat(F.floor(i / 10).cast("string"), F.lit("-"), i.cast("string"))
+    item = F.struct(
+        F.col("block_type").alias("type"), F.when(~table, F.col("text")).alias("text"), F.when(table, F.col("text")).alias("table_body"),
+        F.floor(F.col("i") / 10).cast("int").alias("page_idx"), F.col("heading_level").alias("level"), at(F.col("i")).alias("block_position"),
+        F.concat(F.lit("b"), F.col("i").cast("string")).alias("id"), (F.col("i") % 7 == 6).alias("is_discarded"),
+    )
+    b = _numbered_blocks(spark, d).select("doc_id", F.floor(F.col("i") / 10).alias("page"), "i", item.alias("item"))
+    ordered = lambda key, c: F.transform(F.array_sort(F.collect_list(F.struct(key, c))), lambda x: x[c])
+    pages = b.groupBy("doc_id", "page").agg(ordered("i", "item").alias("items"))
+    merge = F.array(F.struct(F.lit("m").alias("id"), F.lit("merge").alias("type"), F.array(at(F.lit(1)), at(F.lit(2))).alias("blocks")))
+    docs = pages.groupBy("doc_id").agg(ordered("page", "items").alias("pdfData")).withColumn("mergeConnections", merge)
+    raw = docs.select("doc_id", F.to_json(F.struct("pdfData", "mergeConnections")).cast("binary").alias("content"))
+    return readers.block_list(raw).select("doc_id", "pos", "text", "block_type", "heading_level", F.size("page_refs").alias("refs"))
+
+
+def content_list_read(spark: SparkSession, d: str) -> DataFrame:
+    """The blocks of each document as a content list in JSON, tables with captions and footnotes, and read back."""
+    table = F.col("block_type") == "table_body"
+    item = F.struct(
+        "i", F.when(table, "table").when(F.col("block_type") == "title", "text").otherwise(F.col("block_type")).alias("type"),
+        F.when(~table, F.col("text")).alias("text"), F.col("heading_level").alias("text_level"), (F.col("i") % 5).alias("page_idx"),
+        F.when(table, F.col("text")).alias("table_body"), F.when(table, F.array(F.lit("cap"), F.lit("tion"))).alias("table_caption"),
+        F.when(table & (F.col("i") % 2 == 0), F.array(F.lit("foot"))).alias("table_footnote"),
+    )
+    raw = _numbered_blocks(spark, d).groupBy("doc_id").agg(F.to_json(F.array_sort(F.collect_list(item))).cast("binary").alias("content"))
+    return readers.content_list(raw).select("doc_id", "pos", "text", "block_type", "heading_level", F.col("page_refs")[0]["page_idx"].alias("page"))
+
+
+def json_lines_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """The chunks written as JSON lines, in order and without null fields, and read back."""
+    c = _t(spark, d, "chunks").select("row_id", "doc_id", "chunk_index", "text", "token_count", "page_refs")
+    path = f"{shared_dir(spark)}/chunks-{uuid.uuid4().hex[:8]}.jsonl"
+    writers.write_json_lines(c, path, ["doc_id", "chunk_index", "row_id"])
+    back = readers.json_lines(spark, path, c.schema)
+    return back.select("row_id", "doc_id", "chunk_index", "text", "token_count", F.size("page_refs").alias("refs"))
+
+
 def bookmark_noise(spark: SparkSession, d: str) -> DataFrame:
     """Bookmark errors and tags out of block texts."""
     return _t(spark, d, "blocks").select("row_id", clean.strip_tags(F.regexp_replace("text", clean.BOOKMARK, " ")).alias("text"))
@@ -303,7 +361,7 @@ def source_modes(spark: SparkSession, d: str) -> DataFrame:
 
 
 NAMES = (
-    p3_found, incremental_split, run_summary, token_counts, chunk_size_report, chunk_sizes, paragraph_blocks, bookmark_noise, line_clean,
+    source_choice, block_list_read, content_list_read, json_lines_round_trip, p3_found, incremental_split, run_summary, token_counts, chunk_size_report, chunk_sizes, paragraph_blocks, bookmark_noise, line_clean,
     sentence_dedupe, clean_blocks, folder_titles, year_extract, language_hint, document_meta, augmented_text, page_ranges, structure_state,
     heading_paths, built_segments, toc_flags, toc_merged, small_merged, resolved_structure, chunk_articles, stub_flags, table_normalized,
     pipeline_chunks, global_dedupe, document_stats, duplicate_stats, quality_counters, quality_scores, quality_gates, deterministic_gates,

@@ -199,6 +199,20 @@ j as (select s.doc_id, count(*) as n, count(c.ch) as k from s left join c on c.d
 select d.doc_id, coalesce(n, 0) as source_chars, coalesce(k, 0) as covered_chars, coalesce(k::DOUBLE / n, 0) as coverage
 from (select distinct doc_key as doc_id from documents where text is not null) d left join j using (doc_id)"""
 
+
+def _glued(a: str, b: str) -> str:
+    """Two segments as one, with the fields of the first."""
+    text = f"regexp_replace({a}.t, '{_WS}+$', '') || chr(10) || chr(10) || regexp_replace({b}.t, '^{_WS}+', '')"
+    return f"case when {a} is not null then struct_pack(n := {a}.n, t := {text}, s := {a}.s, a := {a}.a, b := {a}.b, z := {token_sql('(' + text + ')')}) end"
+
+
+def _may(a: str, b: str) -> str:
+    """Whether the structures of two segments allow a merge."""
+    same = f"({a}.s is not distinct from {b}.s and {a}.a is not distinct from {b}.a and {a}.b is not distinct from {b}.b)"
+    article = f"coalesce({a}.a, '') || coalesce({b}.a, '') <> ''"
+    return f"({same} or case when {article} then coalesce({a}.a, '') = coalesce({b}.a, '') else coalesce({a}.s, '') <> '' and {a}.s is not distinct from {b}.s end)"
+
+
 ORACLES = {
     "p3_found": f"with {_STATE} select doc_id from decided where not same",
     "incremental_split": f"with {_STATE} select doc_id, case when same then 'reuse' else 'process' end as action from decided",
@@ -285,8 +299,48 @@ from documents d left join c on c.doc_id = d.doc_key left join p on p.doc_id = d
         ("residual_noise", "html + inline_math + latex + bookmark", "<=", "0"),
         ("provenance_issues", "empty_refs + missing_range + invalid_range", "<=", "0"),
     ]),
+    "source_choice": """
+with f as (select source_folder as folder, max(source_mode) as m from folder_scan group by 1)
+select folder, case when m in ('block_list', 'content_list', 'md') then m else 'none' end as mode,
+  case when m = 'block_list' then folder || '/block_list.json' end as block_path,
+  case m when 'block_list' then folder || '/z_content_list.json' when 'content_list' then folder || '/a_content_list.json' end as content_path,
+  case m when 'block_list' then folder || '/b.md' when 'content_list' then folder || '/c.md' when 'md' then folder || '/a.md' end as md_path,
+  case when m = 'block_list' then null when m = 'content_list' then 'block_list.json missing' when m = 'md' then 'block_list.json and *_content_list.json missing'
+    else 'No block_list.json, *_content_list.json, or .md file found' end as fallback_reason from f""",
+    "block_list_read": f"""
+with {_BLOCKS}, n as (select *, row_number() over (partition by doc_id order by pos) - 1 as i, {_strip('text')} as t from b0),
+kept as (select * from n where i % 7 <> 6),
+m as (select doc_id, count(*) as k, string_agg(t, chr(10) order by i) filter (where t <> '' and not (i = 2 and t = o)) as joined
+  from (select *, coalesce(lag(t) over (partition by doc_id order by i), '') as o from kept where i in (1, 2)) group by doc_id)
+select n.doc_id, i::INT as pos, case when i = 1 and k = 2 and joined is not null then joined else coalesce(text, '') end as text, block_type,
+  case when block_type = 'title' then heading_level end as heading_level, (case when i = 1 and k = 2 and joined is not null then 2 else 1 end)::INT as refs
+from kept n left join m using (doc_id) where not (i = 2 and k = 2)""",
+    "content_list_read": f"""
+with {_BLOCKS}, n as (select *, row_number() over (partition by doc_id order by pos) - 1 as i, block_type = 'table_body' as tab from b0)
+select doc_id, i::INT as pos, case when tab then coalesce(text, '') || chr(10) || 'cap tion' || case when i % 2 = 0 then chr(10) || 'foot' else '' end else coalesce(text, '') end as text,
+  case when not tab and heading_level > 0 then 'title' when block_type = 'title' then 'text' else block_type end as block_type,
+  case when not tab and heading_level > 0 then heading_level end as heading_level, (i % 5)::INT as page from n""",
+    "json_lines_round_trip": "select row_id, doc_id, chunk_index, text, token_count, len(page_refs)::INT as refs from chunks",
     "char_coverage": _COVERAGE,
     "clean_blocks": CLEAN_BLOCKS,
+    "small_merged": f"""
+with recursive s0 as (select doc_id, seg_no, text, section, article, subarticle, heading_path from segments qualify row_number() over (partition by doc_id, seg_no order by row_id) = 1),
+s1 as (select *, {_strip('text')} as t, {_lines('text')} as l from s0),
+s2 as (select *, {_hits('l', _TOC_ENTRY)} as e, {_hits('l', _TOC_NUMBERED)} as m, {_hits('l', _TAIL)} as p, {_hits('l', f'(?i)art{chr(92)}.?{_WS}*{chr(92)}d+')} as a from s1),
+own as (select doc_id, row_number() over (partition by doc_id order by seg_no) as k, struct_pack(n := seg_no, t := text, s := section, a := article, b := subarticle, z := {token_sql('text')}) as x from s2
+  where not (t <> '' and (regexp_matches(coalesce(array_to_string(heading_path, ' '), ''), '{_TOC_WORD}') or regexp_matches(left(t, 240), '{_TOC_WORD}')
+     or (len(l) >= 3 and (e >= 3 or m >= 3 or ((e >= 2 or m >= 2) and p >= 3) or a >= 5))))),
+-- cur takes in what follows while it is small, then goes to what stands before it, done
+fold as (
+  select doc_id, k, x as cur, null::STRUCT(n INT, t VARCHAR, s VARCHAR, a VARCHAR, b VARCHAR, z INT) as done, null::STRUCT(n INT, t VARCHAR, s VARCHAR, a VARCHAR, b VARCHAR, z INT) as out from own where k = 1
+  union all
+  select doc_id, k, case when fwd then both_ else x end, case when fwd then done when back then prior else cur end, case when not fwd and not back then done end
+  from (select *, cur.z < 50 and {_may('cur', 'x')} and both_.z <= 480 as fwd, done is not null and cur.z < 50 and {_may('done', 'cur')} and prior.z <= 480 as back
+    from (select f.doc_id, o.k, f.cur, f.done, o.x, {_glued('f.cur', 'o.x')} as both_, {_glued('f.done', 'f.cur')} as prior from fold f join own o on o.doc_id = f.doc_id and o.k = f.k + 1))
+), last as (select * from fold qualify row_number() over (partition by doc_id order by k desc) = 1),
+ends as (select *, coalesce(done is not null and cur.z < 50 and {_may('done', 'cur')} and prior.z <= 480, false) as back from (select *, {_glued('done', 'cur')} as prior from last)),
+all_ as (select doc_id, out as x from fold union all select doc_id, case when back then prior else done end from ends union all select doc_id, cur from ends where not back)
+select doc_id, x.n as seg_no, x.t as text, x.s as section, x.a as article from all_ where x is not null""",
     "consecutive_overlap": """
 with c as (select doc_id, chunk_index, min(text) as text from chunks group by 1, 2),
 p as (select *, right(lag(text) over (partition by doc_id order by chunk_index), 240) as a, left(text, 240) as b from c)
