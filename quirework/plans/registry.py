@@ -7,19 +7,20 @@ SQL is given and the operator is tested in ``tests/`` instead.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirework.config import EvalConfig, PipelineConfig
-from quirework.functions import clean, meta
+from quirework.functions import clean, meta, splitting
 from quirework.functions.tokens import TOKEN_JAVA, token_count, token_sql
 from quirework.operators import assemble, dedupe, evaluate, incremental, segments
 from quirework.operators.ordered import is_long, numbered
 from quirework.plans.pipeline import chunk_blocks
 from quirework.plans.sql import ORACLES
-from quirework.runtime import read_table, shared_dir
+from quirework.runtime import read_table, shared_dir, spread
 from quirework.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +82,17 @@ def chunk_size_report(spark: SparkSession, d: str) -> DataFrame:
     return both.select("r.lang", "count", "min", "median", "p95", "max", "avg", evaluate.pct(F.col("small"), F.col("count")).alias("small_pct"))
 
 
+def split_pieces(spark: SparkSession, d: str) -> DataFrame:
+    """The documents' texts by the splitter."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = [(i, k, p) for i, t in zip(b["doc_id"], b["text"]) for k, p in enumerate(splitting.split_tokens(t or "", 420, 480, 30))]
+            yield pd.DataFrame(rows, columns=["doc_id", "piece_no", "text"])
+
+    return spread(_t(spark, d, "documents").select("doc_id", "text")).mapInPandas(run, "doc_id long, piece_no int, text string")
+
+
 def chunk_sizes(spark: SparkSession, d: str) -> DataFrame:
     """R1, R3 by document."""
     c = _t(spark, d, "chunks").select("doc_id", token_count("text").alias("token_count"))
@@ -361,7 +373,7 @@ def source_modes(spark: SparkSession, d: str) -> DataFrame:
 
 
 NAMES = (
-    source_choice, block_list_read, content_list_read, json_lines_round_trip, p3_found, incremental_split, run_summary, token_counts, chunk_size_report, chunk_sizes, paragraph_blocks, bookmark_noise, line_clean,
+    source_choice, block_list_read, content_list_read, json_lines_round_trip, p3_found, incremental_split, run_summary, token_counts, chunk_size_report, split_pieces, chunk_sizes, paragraph_blocks, bookmark_noise, line_clean,
     sentence_dedupe, clean_blocks, folder_titles, year_extract, language_hint, document_meta, augmented_text, page_ranges, structure_state,
     heading_paths, built_segments, toc_flags, toc_merged, small_merged, resolved_structure, chunk_articles, stub_flags, table_normalized,
     pipeline_chunks, global_dedupe, document_stats, duplicate_stats, quality_counters, quality_scores, quality_gates, deterministic_gates,

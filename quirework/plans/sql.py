@@ -213,6 +213,30 @@ def _may(a: str, b: str) -> str:
     return f"({same} or case when {article} then coalesce({a}.a, '') = coalesce({b}.a, '') else coalesce({a}.s, '') <> '' and {a}.s is not distinct from {b}.s end)"
 
 
+_OPENS = r"^(?:Table:|#|- |\* |\p{Lu}|\p{Nd})"
+# Windows of 350 matches (400 where the rest fits), the next one from at most 25 matches and 30 characters before the end.
+_SPLIT = f"""
+with recursive part as (select doc_id, text, regexp_extract_all(text, '{TOKEN_RE2}|{_WS}+') as p from documents where text is not null),
+ends as (select doc_id, j, x, sum(length(x)) over (partition by doc_id order by j)::BIGINT as b from (select doc_id, generate_subscripts(p, 1) as j, unnest(p) as x from part)),
+tok as (select doc_id, list(b - length(x) order by j) as a, list(b order by j) as b from ends where not regexp_matches(x, '^{_WS}') group by doc_id),
+doc as (select doc_id, text, a, b, len(a) as n from part join tok using (doc_id)),
+w as (
+  select doc_id, 0 as no, 0 as lo, case when n <= 400 then n else 350 end as hi from doc
+  union all
+  select doc_id, no, lo, case when n - lo <= 400 then n else lo + 350 end from (
+    select doc_id, no + 1 as no, n, coalesce(list_filter(near, lambda i: regexp_matches(substr(text, a[i + 1] + 1, 64), '{_OPENS}'))[1], near[1], hi) as lo from (
+      select w.*, d.text, d.a, d.n, list_filter(range(greatest(w.lo + 1, w.hi - 25), w.hi), lambda i: d.b[w.hi] - d.a[i + 1] <= 30) as near
+      from w join doc d on d.doc_id = w.doc_id where w.hi < d.n))
+), raw as (select w.*, n, {_strip("substr(text, a[lo + 1] + 1, b[hi] - a[lo + 1])")} as t from w join doc using (doc_id)),
+head as (select *, length(regexp_extract(left(t, 220), '(?s)^.*?[.!?;:]{_WS}+')) as h from raw),
+cut as (select *, regexp_replace(substr(t, h + 1), '^{_WS}+', '') as rest from head),
+piece as (select doc_id, no, case when no > 0 and not regexp_matches(t, '{_OPENS}') and h > 0 and length(rest) >= 24 then rest else t end as t from cut),
+tail as (select *, lag(t) over v as was, no > 0 and no = max(no) over (partition by doc_id) as ends, lead(t) over v as nxt, lead(no) over v = max(no) over (partition by doc_id) as before from piece window v as (partition by doc_id order by no)),
+glue as (select *, case when ends then was || chr(10) || chr(10) || t when before then t || chr(10) || chr(10) || nxt end as both_, case when ends then t when before then nxt end as final from tail),
+fits as (select *, coalesce({token_sql('final')} < 58 and {token_sql('both_')} <= 400, false) as fit from glue)
+select doc_id, no::INT as piece_no, case when before and fit then both_ else t end as text from fits where not (ends and fit)"""
+
+
 ORACLES = {
     "p3_found": f"with {_STATE} select doc_id from decided where not same",
     "incremental_split": f"with {_STATE} select doc_id, case when same then 'reuse' else 'process' end as action from decided",
@@ -322,6 +346,7 @@ select doc_id, i::INT as pos, case when tab then coalesce(text, '') || chr(10) |
   case when not tab and heading_level > 0 then heading_level end as heading_level, (i % 5)::INT as page from n""",
     "json_lines_round_trip": "select row_id, doc_id, chunk_index, text, token_count, len(page_refs)::INT as refs from chunks",
     "char_coverage": _COVERAGE,
+    "split_pieces": _SPLIT,
     "clean_blocks": CLEAN_BLOCKS,
     "small_merged": f"""
 with recursive s0 as (select doc_id, seg_no, text, section, article, subarticle, heading_path from segments qualify row_number() over (partition by doc_id, seg_no order by row_id) = 1),
