@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -13,7 +13,7 @@ from quirework.functions import meta, splitting
 from quirework.functions.clean import strip
 from quirework.functions.tokens import py_token_count, token_count
 from quirework.operators.ordered import BLOCK, numbered
-from quirework.operators.segments import islands, join_texts, may_merge
+from quirework.operators.segments import fold_islands, islands, join_texts, may_merge
 from quirework.runtime import materialize
 from quirework.schemas import PAGE_REFS
 
@@ -71,22 +71,12 @@ def chunk_rows(segments: DataFrame, config: PipelineConfig, long: bool = False)
     p = numbered(p, "doc_id", "_pos", "_ord", long, BLOCK * PIECES)
     p = islands(p, "_ord", config.min_viable_chunk_tokens, long, passing=F.col("stub") & (F.col("_tokens") < config.min_viable_chunk_tokens))
     cols = ["doc_id", "_ord", "text", "_tokens", "stub", "section", "article", "subarticle", "heading_path", "page_refs"]
-    p = materialize(p.select("island", *cols), "islands").withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("doc_id", "island")))
     smallest, viable, limit = config.min_chunk_tokens, config.min_viable_chunk_tokens, config.max_tokens
     schema = (
         "doc_id string, _ord int, text string, section string, article string, subarticle string,"
         f" heading_path array<string>, page_refs {PAGE_REFS}"
     )
-    names = ["doc_id", "_ord", "text", "section", "article", "subarticle", "heading_path", "page_refs"]
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.sort_values("_ord").to_dict("records")
-        return pd.DataFrame(sweep(emit(rows, smallest, limit), viable, limit), columns=names)
-
-    one = F.col("_n") == 1
-    alone = p.where(one & ~(F.col("stub") & (F.col("_tokens") < viable))).select(*names)
-    folded = p.where(~one).drop("_n").groupBy("doc_id", "island").applyInPandas(fold, schema)
-    return alone.unionByName(folded)
+    return fold_islands(p.select("island", *cols), "_ord", lambda rows: swept(emitted(rows, smallest, limit), viable, limit), schema)
 
 
 def _merged(a: dict, b: dict, keep: dict, limit: int) -> dict | None:
@@ -102,41 +92,55 @@ def _merged(a: dict, b: dict, keep: dict, limit: int) -> dict | None:
     return keep | {"text": text, "_tokens": tokens, "page_refs": [refs[k] for k in order], "stub": False}
 
 
-def emit(rows: list[dict], smallest: int, limit: int) -> list[dict]:
+def emitted(rows: Iterable[dict], smallest: int, limit: int) -> Iterator[dict]:
     """Pieces under ``smallest`` tokens dropped if stubs, else put to the row before if compatible."""
-    out: list[dict] = []
+    last = None
     for row in rows:
         if row["_tokens"] < smallest:
             if row["stub"]:
                 continue
-            if out and (more := _merged(out[-1], row, out[-1], limit)):
-                out[-1] = more
+            if last is not None and (more := _merged(last, row, last, limit)):
+                last = more
                 continue
-        out.append(row)
-    return out
+        if last is not None:
+            yield last
+        last = row
+    if last is not None:
+        yield last
 
 
-def sweep(rows: list[dict], viable: int, limit: int) -> list[dict]:
+def swept(rows: Iterable[dict], viable: int, limit: int) -> Iterator[dict]:
     """Rows under ``viable`` tokens dropped if stubs, else merged backwards or forwards with rows of their kind."""
-    out: list[dict] = []
-    waiting = rows[::-1]
+    waiting = iter(rows)
+    ahead, last = next(waiting, None), None
 
     def alike(a: dict, b: dict) -> bool:
         return splitting.is_table(a["text"]) == splitting.is_table(b["text"])
 
-    while waiting:
-        row = waiting.pop()
+    while ahead is not None:
+        row, ahead = ahead, next(waiting, None)
         if row["_tokens"] < viable:
             if row["stub"]:
                 continue
-            if out and alike(out[-1], row) and (back := _merged(out[-1], row, out[-1], limit)):
-                out[-1] = back
+            if last is not None and alike(last, row) and (back := _merged(last, row, last, limit)):
+                last = back
                 continue
-            if waiting and alike(row, waiting[-1]) and (ahead := _merged(row, waiting[-1], waiting[-1], limit)):
-                waiting[-1] = ahead
+            if ahead is not None and alike(row, ahead) and (both := _merged(row, ahead, ahead, limit)):
+                ahead = both
                 continue
-        out.append(row)
-    return out
+        if last is not None:
+            yield last
+        last = row
+    if last is not None:
+        yield last
+
+
+def emit(rows: Iterable[dict], smallest: int, limit: int) -> list[dict]:
+    return list(emitted(rows, smallest, limit))
+
+
+def sweep(rows: Iterable[dict], viable: int, limit: int) -> list[dict]:
+    return list(swept(rows, viable, limit))
 
 
 def document_meta(blocks: DataFrame, fallback: DataFrame, long: bool = False) -> DataFrame:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator
+from itertools import groupby
+
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quirework import schemas
@@ -207,31 +210,51 @@ def absorb(a: dict, b: dict, limit: int) -> dict | None:
     return a | {"text": text, "_tokens": tokens, "page_refs": refs_once(a["page_refs"], b["page_refs"]), "heading_path": path}
 
 
-def merge_island(rows: list[dict], smallest: int, limit: int) -> list[dict]:
-    """Small segments take in what follows while they are small, then go to what precedes."""
-    out: list[dict] = []
-    waiting = rows[::-1]
-    while waiting:
-        seg = waiting.pop()
-        while waiting and seg["_tokens"] < smallest and (more := absorb(seg, waiting[-1], limit)):
-            seg = more
-            waiting.pop()
-        if out and seg["_tokens"] < smallest and (back := absorb(out[-1], seg, limit)):
-            out[-1] = back
-        else:
-            out.append(seg)
-    return out
+def merge_island(rows: Iterable[dict], smallest: int, limit: int) -> Iterator[dict]:
+    """Small segments take in what follows while they are small, then go to what precedes. Two rows are held at a time."""
+    waiting = iter(rows)
+    ahead, last = next(waiting, None), None
+    while ahead is not None:
+        seg, ahead = ahead, next(waiting, None)
+        while ahead is not None and seg["_tokens"] < smallest and (more := absorb(seg, ahead, limit)):
+            seg, ahead = more, next(waiting, None)
+        if last is not None and seg["_tokens"] < smallest and (back := absorb(last, seg, limit)):
+            last = back
+            continue
+        if last is not None:
+            yield last
+        last = seg
+    if last is not None:
+        yield last
 
 
-def merge_small(segments: DataFrame, smallest: int, limit: int, long: bool = False) -> DataFrame:
-    """Segments under ``smallest`` tokens merged with compatible neighbours up to ``limit`` tokens."""
-    d = materialize(islands(segments.withColumn("_tokens", token_count("text")), "seg_no", smallest, long), "islands")
-    cols = _names(schemas.SEGMENT)
-    alone = d.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("doc_id", "island")))
+#: Rows of a fold's result that are passed on together.
+TOGETHER = 2_000
+
+
+def fold_islands(rows: DataFrame, pos: str, fold: Callable[[Iterator[dict]], Iterator[dict]], schema: str) -> DataFrame:
+    """``fold`` of the rows of every (doc_id, island) in the order of ``pos``.
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.sort_values("seg_no").to_dict("records")
-        return pd.DataFrame(merge_island(rows, smallest, limit), columns=[*cols, "_tokens"])[cols]
+    Islands go through as streams over sorted partitions: a long one is never held as a whole, and a short one costs no
+    call of its own.
+    """
+    names = _names(schema)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        records = (r for b in batches for r in b.to_dict("records"))
+        out: list[dict] = []
+        for _, island in groupby(records, key=lambda r: (r["doc_id"], r["island"])):
+            for row in fold(island):
+                out.append(row)
+                if len(out) >= TOGETHER:
+                    yield pd.DataFrame(out, columns=names)
+                    out = []
+        yield pd.DataFrame(out, columns=names)
+
+    return rows.repartition("doc_id", "island").sortWithinPartitions("doc_id", "island", pos).mapInPandas(run, schema)
 
-    merged = alone.where("_n > 1").select("island", "_tokens", *cols).groupBy("doc_id", "island").applyInPandas(fold, schemas.SEGMENT)
-    return alone.where("_n = 1").select(*cols).unionByName(merged)
+
+def merge_small(segments: DataFrame, smallest: int, limit: int, long: bool = False) -> DataFrame:
+    """Segments under ``smallest`` tokens merged with compatible neighbours up to ``limit`` tokens."""
+    d = islands(segments.withColumn("_tokens", token_count("text")), "seg_no", smallest, long)
+    return fold_islands(d, "seg_no", lambda rows: merge_island(rows, smallest, limit), schemas.SEGMENT)
