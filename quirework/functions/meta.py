@@ -17,7 +17,7 @@ ACADEMIC_YEAR = rf"(?i)\bA\.?{WS}*Y\.?{WS}*{YEAR_SPAN}"
 ANY_YEAR_SPAN = rf"\b{YEAR_SPAN}"
 SINGLE_YEAR = r"\b(20\d{2})\b"
 
-# What opens a section or an article.
+# What opens a section or an article. They are the openers that results have to agree on, no others.
 SECTION_LINE = (
     rf"(?iu)^{WS}*(?:#{WS}*)?((?:SECTION|SEZIONE|PART|CHAPTER|CAPO|TITOLO){WS}+[IVXLC0-9]+.*|(?:\d+\.)+{WS}+.*"
     rf"|GENERAL SECTION.*|(?:SCHOLARSHIP|BORSA|ACCOMODATION|ACCOMMODATION)\b.*)$"
@@ -101,11 +101,6 @@ def sort_refs(refs: Column) -> Column:
     return F.array_sort(refs, lambda a, b: F.when(key(a) < key(b), -1).when(key(a) > key(b), 1).otherwise(0))
 
 
-def merge_refs(a: Column, b: Column) -> Column:
-    """Both lists of page refs, each ref once, sorted; refs without a page are dropped."""
-    return sort_refs(F.array_distinct(F.filter(F.concat(a, b), lambda r: r["page_idx"].isNotNull())))
-
-
 def page_start(refs: Column) -> Column:
     return F.array_min(F.transform(refs, lambda r: r["page_idx"]))
 
@@ -233,17 +228,9 @@ def final_article(text: Column, section: Column, article: Column, subarticle: Co
     )
 
 
-def compatible(a: tuple[Column, Column, Column], b: tuple[Column, Column, Column]) -> Column:
-    """Whether texts of two structures (section, article, subarticle) may be merged."""
-    filled = lambda c: c.isNotNull() & (c != "")
-    same = a[0].eqNullSafe(b[0]) & a[1].eqNullSafe(b[1]) & a[2].eqNullSafe(b[2])
-    article = filled(a[1]) & F.coalesce(a[1] == b[1], F.lit(False))
-    section = ~filled(a[1]) & ~filled(b[1]) & filled(a[0]) & F.coalesce(a[0] == b[0], F.lit(False))
-    return same | article | section
-
-
 # --- shapes of text --------------------------------------------------------------------------
 
+# What lines of tables of contents and stubs look like.
 TOC_WORD = r"(?iu)\b(?:summary|sommario|indice|table of contents)\b"
 TOC_ENTRY = rf"(?iu)^(?:#{WS}*)?(?:art\.?|article|articolo){WS}*\d+(?:\.\d+)?\b.*\b\d{{1,3}}{WS}*$"
 TOC_NUMBERED = rf"(?iu)^{WS}*(?:\d+(?:\.\d+){{0,4}})(?:\.?{WS}+|[.:])\S.*{WS}+\d{{1,3}}{WS}*$"
