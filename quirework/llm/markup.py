@@ -98,7 +98,7 @@ _START = r"(?:(?=[<&\\$`*{}\[\]=|!'_#>:~+-])|(?<![^\n])(?=[ \t]))"
 MARK = re.compile(_START + "(?:" + "|".join(f"(?P<{k}>{p})" for k, p in PARTS) + ")", re.I | _M)
 
 _DEFINITION = re.compile(r"(?m)^[ \t]{0,3}\[[^\[\]\n]+\]:[ \t]+<?(?:https?://|[/#.])")
-_FENCE = re.compile(r"(?m)^[ \t]*```[ \t]*$")
+_FENCE = re.compile(r"(?m)^[ \t]*```(?!\w)")
 
 #: A row can hold markup only if this matches (a superset of every pattern above).
 TRIGGER = r"[<&\\$`*{}\[=]|__|~~|''|!!|\|\||(?m:^[ \t]{0,3}[#>|])|\|[ \t]*(?m:$)"

@@ -60,6 +60,11 @@ def test_more_furniture_paths_than_are_sent(spark, monkeypatch):
     assert len(got) == len(rows) + 2 and not any("style" in t or "a3" in t for _, t, _ in got)
 
 
+def test_code_ends_at_the_next_fence_whatever_follows_it():
+    leaves, found = markup.parse("```\nx = 1\n```](https://x.example/y)\n" + "'" * 3 + "a" + "'" * 3 + " \\section{B}\n```\ny\n```")
+    assert found == {"markdown", "wiki", "latex"} and "x = 1" in markup.render(leaves, None)
+
+
 CLEAN = [
     ("x <b>one</b> <i>two</i> y", "x one two y"), ("a **b** **c** d", "a b c d"), ("see [a](https://x.example/z) now", "see a now"),
     ("`d` x *c* y", "d x c y"), (r"\url{x} \textit{y {z}} w", "x y z w"), ("~~x~~ y", "x y"), ("Title\n=====\nbody", "# Title\nbody"),
