@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quirework.functions.tokens import token_sql
 from quirework.llm import dedup, language, leak, markup, mixing, ocr, split, subjects
+from quirework.llm.leak_sql import P7_FOUND
 from quirework.runtime import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -204,6 +205,7 @@ def oracle_sql() -> dict[str, str]:
         "p5_found": f"""
 select 'chunks' as tab, row_id from chunks where {token_sql('text')} > 480
 union all select 'segments' as tab, row_id from segments where {token_sql('text')} > 480""",
+        "p7_found": P7_FOUND,
         "p8_found": P8_BASE
         + """
 select m.source from mix_targets m left join t using (source) cross join a
