@@ -343,10 +343,12 @@ class Scanner:
                 self._cut(folded, m, out)
         if title and "\n" not in folded:
             out.append(("title", header_key(text), 0, False))
-        words = said_words(text)
-        unknown = set(words) - self.silent
-        doubtful = [i for i, w in enumerate(words) if w in unknown and len(w) > 2 and _LETTERS.search(w)] if unknown else ()
-        return [(*e, None) for e in out] + [("word", words[i], i, False, words[max(0, i - 2) : i] + words[i + 1 : i + 3]) for i in doubtful]
+        found = [(*e, None) for e in out]
+        if any(not w.isdigit() for w in set(WORD.findall(folded)) - self.silent):  # few texts have such a word
+            words = said_words(text)
+            doubtful = [i for i, w in enumerate(words) if w not in self.silent and len(w) > 2 and _LETTERS.search(w)]
+            found += [("word", words[i], i, False, words[max(0, i - 2) : i] + words[i + 1 : i + 3]) for i in doubtful]
+        return found
 
     def _cut(self, folded: str, m: re.Match, out: list) -> None:
         """A word cut at a line end: the second half opens one of the next lines, furniture between.
